@@ -1 +1,152 @@
 """Streams over files, checked against their batch twins."""
+
+from pyspark.sql import functions as F
+
+from txnloom.operators.summaries import customer_baseline
+from txnloom.params import StreamParams
+from txnloom.session import scratch_path
+from txnloom.sources.messages import decode_stream, read_message_stream
+from txnloom.streaming.churn import churn_stream, churn_window_stream
+from txnloom.streaming.flagged import decode_alerts, maintain_flagged, read_flagged
+from txnloom.streaming.fraud import fraud_stream
+from txnloom.streaming.landing import landing_streams
+from txnloom.functions.clock import step_of
+from txnloom.sinks.batches import configure
+
+from .churning import PARAMS
+from .core import query
+from .inputs import evt, messages
+
+
+def _drain(*writers):
+    """Run the queries one after the other until their input is used up."""
+    for w in writers:
+        w.start().awaitTermination()
+
+
+def _topic(spark, df, label):
+    """Messages as files in offset order, read back as a stream."""
+    path = scratch_path(spark, label)
+    (df.repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(path))
+    p = StreamParams(kind="parquet", location=path, max_per_trigger=1000, once=True)
+    return read_message_stream(spark, p), p
+
+
+def _event_messages(spark, d):
+    return evt(spark, d).select(
+        F.col("nameOrig").alias("key"),
+        F.to_json(F.struct("step", "type", "amount", "nameOrig", "newbalanceOrig")).alias("value"),
+        F.lit(0).alias("partition"), F.col("kafka_offset").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"))
+
+
+@query("stream_fraud_alerts", "ST1 ST6 ST7 S1 K1 P25", """
+SELECT CASE WHEN row_no % 97 <> 0 OR row_no // 97 % 8 <> 2 THEN row_no END AS n,
+  CASE WHEN row_no % 97 = 0 AND row_no // 97 % 8 = 4 THEN '' ELSE nameOrig END AS account,
+  CAST(amount AS DOUBLE) AS amount FROM flagged
+WHERE row_no IN (SELECT row_no FROM checked WHERE ok) AND NOT (row_no % 97 = 0 AND row_no // 97 % 8 IN (3, 6))""")
+def _(spark, d):
+    stream, p = _topic(spark, messages(spark, d), "fraud-topic")
+    out = scratch_path(spark, "fraud")
+    _drain(fraud_stream(decode_stream(stream), f"{out}/alerts", f"{out}/metrics", f"{out}/checkpoint", p))
+    return spark.read.parquet(f"{out}/alerts").select(
+        F.regexp_extract(F.coalesce("txnId", F.lit("")), r"(\d+)$", 1).try_cast("long").alias("n"),
+        F.get_json_object("value", "$.nameOrig").alias("account"),
+        F.get_json_object("value", "$.amount").cast("double").alias("amount"))
+
+
+@query("stream_fraud_metrics", "ST1 ST9 K4 S9 A18", """
+SELECT count(*) AS total_count, count(*) FILTER (ok) AS parsed_count,
+  (SELECT count(*) FROM flagged WHERE row_no IN (SELECT row_no FROM checked WHERE ok)
+     AND NOT (row_no % 97 = 0 AND row_no // 97 % 8 IN (3, 6))) AS flagged_count FROM checked""")
+def _(spark, d):
+    from txnloom.sources.tables import read_metrics
+    stream, p = _topic(spark, messages(spark, d), "metrics-topic")
+    out = scratch_path(spark, "metrics")
+    _drain(fraud_stream(decode_stream(stream), f"{out}/alerts", f"{out}/metrics", f"{out}/checkpoint", p))
+    return read_metrics(spark, f"{out}/metrics").agg(
+        *[F.sum(c).alias(c) for c in ("total_count", "parsed_count", "flagged_count")])
+
+
+@query("stream_churn_windows", "ST2 ST3 A19", """
+SELECT customerId, window_start_step, w_count, w_avg_amount, cashout_count, payment_debit_count, low_run FROM win""")
+def _(spark, d):
+    stream, p = _topic(spark, _event_messages(spark, d), "window-topic")
+    out = scratch_path(spark, "windows")
+    from txnloom.sinks.batches import parquet_writer
+    windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True)
+    _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
+                     f"{out}/checkpoint", p))
+    return spark.read.parquet(f"{out}/windows").select(
+        "customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count", "w_avg_amount",
+        "cashout_count", "payment_debit_count", "low_run")
+
+
+@query("stream_churn_alerts", "ST4 J1 K3 S10 T6 P25", """
+SELECT customerId, window_start_step, window_end_step, signal_names, signal_count, w_count AS window_txn_count,
+  w_avg_2 AS window_avg_amount FROM alert""")
+def _(spark, d):
+    from txnloom.operators.churn import dedupe_alerts
+    out = scratch_path(spark, "churn")
+    customer_baseline(evt(spark, d)).write.parquet(f"{out}/baseline")
+    stream, p = _topic(spark, _event_messages(spark, d), "churn-topic")
+    _drain(churn_stream(decode_stream(stream), f"{out}/baseline", f"{out}/alerts", f"{out}/checkpoint", p, PARAMS))
+    return dedupe_alerts(spark.read.parquet(f"{out}/alerts")).select(
+        "customerId", "window_start_step", "window_end_step", F.array_join("signals", ",").alias("signal_names"),
+        "signal_count", "window_txn_count", "window_avg_amount")
+
+
+@query("stream_trailing_churn", "ST10", """
+SELECT customerId, last AS window_end_step, count(*) AS w_count,
+  count(*) FILTER (type = 'CASH_OUT') AS cashout_count FROM (
+  SELECT nameOrig AS customerId, type, step, max(step) OVER (PARTITION BY nameOrig) AS last FROM evt)
+WHERE step > last - 24 GROUP BY customerId, last""")
+def _(spark, d):
+    from txnloom.sinks.batches import parquet_writer
+    stream, p = _topic(spark, _event_messages(spark, d), "trailing-topic")
+    out = scratch_path(spark, "trailing")
+    windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True, trailing=True)
+    _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
+                     f"{out}/checkpoint", p))
+    return spark.read.parquet(f"{out}/windows").select(
+        "customerId", (step_of(F.col("window.end")) - 1).alias("window_end_step"), "w_count", "cashout_count")
+
+
+@query("stream_landing", "ST12 K7 ST8", """
+SELECT step, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM txn
+WHERE row_no IN (SELECT row_no FROM checked WHERE problem_text = '') GROUP BY step""")
+def _(spark, d):
+    stream, p = _topic(spark, messages(spark, d), "landing-topic")
+    out = scratch_path(spark, "landing")
+    _drain(*landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p))
+    return spark.read.parquet(f"{out}/table").groupBy("step").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+
+
+@query("stream_dead_letters", "ST12 V5", """
+SELECT row_no AS "offset", problem_text AS problems FROM checked WHERE problem_text <> ''""")
+def _(spark, d):
+    stream, p = _topic(spark, messages(spark, d), "dead-topic")
+    out = scratch_path(spark, "dead")
+    _drain(landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p)[1])
+    rows = spark.read.schema("key string, value string, partition int, offset long, problems array<string>").json(
+        f"{out}/dead")
+    return rows.select("offset", F.array_join(F.array_sort("problems"), "; ").alias("problems"))
+
+
+@query("stream_flagged_table", "ST11 W2 T3 P24 P26", """
+SELECT txnId, step, CAST(amount AS DOUBLE) AS amount, false_positive FROM flagged
+ORDER BY row_no DESC LIMIT 500""")
+def _(spark, d):
+    """Every alert arrives twice; the second time updates the row in its first place."""
+    from txnloom.functions.payloads import fraud_alert
+    from txnloom.functions.rules import is_fraud
+    from .inputs import txn
+    alerts = txn(spark, d, balances=True).filter(is_fraud()).select(
+        F.col("nameOrig").alias("key"), fraud_alert().alias("value"), F.lit(0).alias("partition"),
+        F.col("row_no").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    again = alerts.withColumn("offset", F.col("offset") + 1_000_000_000_000)
+    stream, p = _topic(spark, alerts.unionByName(again), "alert-topic")
+    out = scratch_path(spark, "flagged")
+    _drain(maintain_flagged(decode_alerts(stream), f"{out}/table", f"{out}/checkpoint", p, max_rows=500))
+    return read_flagged(spark, f"{out}/table").select("txnId", "step", "amount", "false_positive")

@@ -66,12 +66,13 @@ def flag_fraud(txns: DataFrame, p: FraudParams = FraudParams()) -> DataFrame:
     return txns.filter(is_fraud(p))
 
 
-def flagged_transactions(flagged: DataFrame, epoch: str = SIM_EPOCH) -> DataFrame:
+def flagged_transactions(flagged: DataFrame, epoch: str = SIM_EPOCH,
+                         keep: tuple[str, ...] = ()) -> DataFrame:
     """Reporting shape of flagged rows; columns the input lacks are left out."""
     shaped = (flagged.withColumn("event_ts", event_ts(F.col("step"), epoch))
               .withColumn("isFraud", F.coalesce(F.col("isFraud"), F.lit(0)))
               .withColumn("false_positive", false_positive(F.col("isFraud"))))
-    return shaped.select(*[c for c in FLAGGED.fieldNames() if c in shaped.columns])
+    return shaped.select(*[c for c in FLAGGED.fieldNames() if c in shaped.columns], *keep)
 
 
 def star(facts: DataFrame, dates: DataFrame, types: DataFrame,

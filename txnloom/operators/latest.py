@@ -34,16 +34,21 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str,
     return latest_by(both, [key], ["_new", *order]).select(*stored)
 
 
-def rolling_latest(df: DataFrame, key: str, arrival: str, max_rows: int) -> DataFrame:
+def rolling_latest(df: DataFrame, key: str, arrival: str, max_rows: int,
+                   first: str | None = None) -> DataFrame:
     """Last version of every key, newest ``max_rows`` keys by first arrival.
 
     An update keeps the place of the first version, and the oldest keys fall out.
+    ``first`` names a column that already holds earlier first arrivals; then both
+    arrivals are kept, so that the result can be merged again.
     """
-    rest = [c for c in df.columns if c not in (key, arrival)]
+    seen = first or arrival
+    rest = [c for c in df.columns if c not in (key, arrival, first)]
+    last = [F.max(arrival).alias(arrival)] if first else []
     merged = (df.groupBy(key)
-              .agg(F.min(arrival).alias("first_arrival"),
+              .agg(F.min(seen).alias("first_arrival"), *last,
                    F.max_by(F.struct(*rest), arrival).alias("_row")))
-    return (merged.select(key, "first_arrival", "_row.*")
+    return (merged.select(key, "first_arrival", *([arrival] if first else []), "_row.*")
             .orderBy(F.desc("first_arrival"), F.desc(key)).limit(max_rows))
 
 
