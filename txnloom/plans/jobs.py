@@ -136,10 +136,10 @@ def export(spark, args):
 def ingest(spark, args):
     """Text rows to typed transactions; rejected rows go to their own folder.
 
-    Rows are numbered in file order, which ``--order`` names as a numeric column.
+    Rows are numbered by the numeric column ``--order``, else by their place in the files.
     """
     raw = read_csv_text(spark, args.input)
-    good, bad = validate_rows(with_txn_ids(raw, args.order) if args.order else raw)
+    good, bad = validate_rows(with_txn_ids(raw, args.order or None))
     tables.write_parquet(to_records(stamp_ingest(good)), _out(args, "transactions"))
     tables.write_parquet(bad, _out(args, "rejected"))
 
