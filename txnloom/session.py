@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,11 +31,10 @@ def build_session(app_name: str, master: str | None = None,
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, which the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session that has none falls back to a temporary folder of this machine.
+    Only a local session that has none falls back to a temporary folder of this machine.
     """
     root = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
@@ -44,4 +43,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="txnloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Rows fixed in the shared folder, so that every later use sees the same ones."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
