@@ -7,7 +7,7 @@ and reuses its shuffle; nothing passes through the driver program.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import (
@@ -75,7 +75,10 @@ def clv_components(txns: DataFrame, p: ClvParams = ClvParams()) -> DataFrame:
         *[F.max(c).alias(c) for c in per_customer.columns[1:]]).alias("peak")).scalar()
     with_peaks = (per_customer.withColumn("_p", peaks)
                   .withColumn("steps_since_last_txn", last - F.col("last_step")))
-    positive = lambda c: F.when(F.col(f"_p.{c}") > 0, F.col(f"_p.{c}"))
+
+    def positive(c: str) -> Column:
+        return F.when(F.col(f"_p.{c}") > 0, F.col(f"_p.{c}"))
+
     return with_peaks.select(
         *per_customer.columns, "steps_since_last_txn",
         clamp01(safe_ratio(F.col("total_amount"), positive("total_amount"))).alias("volume_score"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..params import StreamParams
+from .tables import write_parquet
 
 
 def _folder(path: str, batch_id: int) -> str:
@@ -21,10 +22,7 @@ def _folder(path: str, batch_id: int) -> str:
 
 def parquet_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     def write(df: DataFrame, batch_id: int) -> None:
-        out = df.write.mode("overwrite")
-        if partition_by:
-            out = out.partitionBy(*partition_by)
-        out.parquet(_folder(path, batch_id))
+        write_parquet(df, _folder(path, batch_id), partition_by)
 
     return write
 

@@ -13,11 +13,15 @@ from ..sources.tables import SourceError
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                   mode: str = "overwrite") -> None:
-    """Written by all tasks in parallel; Spark sizes the files from its partitions."""
-    out = df.write.mode(mode)
+    """Written by all tasks in parallel.
+
+    Partitioned output is rebalanced first: rows of one folder come together in few
+    files, and a folder with very many rows is still split over several tasks.
+    """
     if partition_by:
-        out = out.partitionBy(*partition_by)
-    out.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
