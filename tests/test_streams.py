@@ -192,3 +192,12 @@ def test_flagged_batch_replay(spark, tmp_path):
     for _ in range(2):
         handle(batch(2, 1), 1)
     assert read_flagged(spark, target).count() == 3
+
+
+def test_topic_gets_what_was_stored(spark, tmp_path):
+    src, out, sent = str(tmp_path / "in"), str(tmp_path / "out"), []
+    _write(spark, src, _texts(txns(spark, _fraud_rows(3) + [{"txnId": "TXN9"}]), encode_txn()))
+    messages, p = _source(spark, src)
+    topic = lambda df, batch_id: sent.extend((r.key, json.loads(r.value)["txnId"]) for r in df.select("key", "value").collect())
+    _drain(fraud_stream(decode_stream(messages), f"{out}/alerts", f"{out}/metrics", f"{out}/cp", p, topic=topic))
+    assert sorted(sent) == [("C1", f"TXN00000000{i}") for i in range(3)]

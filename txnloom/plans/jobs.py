@@ -18,6 +18,7 @@ from ..params import (
 )
 from ..session import build_session
 from ..sinks import tables
+from ..sinks.batches import kafka_writer, reset_checkpoint, stop_on_signal
 from ..sources import (
     SourceError, load_transactions, read_metrics, read_profiles, read_txn_stream,
 )
@@ -34,9 +35,9 @@ def _out(args: argparse.Namespace, name: str) -> str:
     return f"{args.out.rstrip('/')}/{name}"
 
 
-def _txns(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _txns(spark: SparkSession, args: argparse.Namespace, valid_only: bool = True) -> DataFrame:
     # One emptiness check reads at most one file; counting would scan everything.
-    df = load_transactions(spark, args.source, args.input)
+    df = load_transactions(spark, args.source, args.input, valid_only=valid_only)
     if df.isEmpty():
         raise SourceError(f"no transactions in {args.source} {args.input}")
     return df
@@ -61,7 +62,7 @@ def clv(spark, args):
 
 def baseline(spark, args):
     from pyspark.sql import functions as F
-    built = summaries.customer_baseline(_txns(spark, args)).withColumn(
+    built = summaries.customer_baseline(_txns(spark, args, valid_only=False)).withColumn(
         "baseline_built_at", F.current_timestamp())
     tables.write_parquet(built, _out(args, "customer_baseline"))
 
@@ -89,7 +90,7 @@ def dormancy(spark, args):
 
 
 def transaction_summary(spark, args):
-    tables.write_parquet(summaries.transaction_summary(_txns(spark, args)), _out(args, "transaction_summary"))
+    tables.write_parquet(summaries.transaction_summary(_txns(spark, args, valid_only=False)), _out(args, "transaction_summary"))
     done = spark.read.parquet(_out(args, "transaction_summary"))
     tables.write_single_csv(summaries.report_order(done, "transaction_summary"),
                             _out(args, "exports/transaction_summary.csv"))
@@ -152,7 +153,6 @@ def _stream(args) -> StreamParams:
 
 
 def _run(spark, args, *writers):
-    from ..sinks.batches import stop_on_signal
     queries = [w.start() for w in writers]
     for q in queries:
         stop_on_signal(q)
@@ -163,25 +163,28 @@ def _run(spark, args, *writers):
 
 
 def _checkpoint(spark, args, name):
-    from ..sinks.batches import reset_checkpoint
     path = _out(args, f"checkpoints/{name}")
     if args.reset_checkpoint:
         reset_checkpoint(spark, path)
     return path
 
 
+def _topic(args):
+    return kafka_writer(args.bootstrap_servers, args.output_topic) if args.output_topic else None
+
+
 def stream_fraud(spark, args):
     p = _stream(args)
     _run(spark, args, fraud_stream(read_txn_stream(spark, p), _out(args, "fraud_alerts"),
                                    _out(args, "streaming_metrics"), _checkpoint(spark, args, "fraud"), p,
-                                   FraudParams.from_env()))
+                                   FraudParams.from_env(), _topic(args)))
 
 
 def stream_churn(spark, args):
     p = _stream(args)
     _run(spark, args, churn_stream(read_txn_stream(spark, p), _out(args, "customer_baseline"),
                                    _out(args, "churn_alerts"), _checkpoint(spark, args, "churn"), p,
-                                   ChurnParams.from_env()))
+                                   ChurnParams.from_env(), _topic(args)))
 
 
 def stream_landing(spark, args):
@@ -220,6 +223,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--list", action="store_true", help="report what an export would write")
     ap.add_argument("--stream-kind", choices=("kafka", "json", "parquet"), default="kafka")
     ap.add_argument("--bootstrap-servers", default="")
+    ap.add_argument("--output-topic", default="", help="send alerts to this topic as well")
     ap.add_argument("--starting-offsets", choices=("latest", "earliest"), default="latest")
     ap.add_argument("--max-per-trigger", type=int, default=100000)
     ap.add_argument("--trigger", default="10 seconds")

@@ -45,16 +45,14 @@ def kafka_writer(bootstrap_servers: str, topic: str) -> Callable[[DataFrame, int
     return write
 
 
-def both(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Write a batch to several places, computing it once."""
+def stored_then(store: Callable[[DataFrame, int], None], path: str,
+                topic: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Store a batch under ``path``, then send what was stored: computed once, not cached."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        kept = df.persist()
-        try:
-            for w in writers:
-                w(kept, batch_id)
-        finally:
-            kept.unpersist()
+        store(df, batch_id)
+        # The schema is known, so an empty batch without files reads as no rows.
+        topic(df.sparkSession.read.schema(df.schema).parquet(_folder(path, batch_id)), batch_id)
 
     return write
 

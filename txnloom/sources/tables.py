@@ -44,8 +44,10 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 def load_transactions(spark: SparkSession, kind: str, location: str,
                       columns: Sequence[str] | None = CORE_COLUMNS,
-                      exact_money: bool = False) -> DataFrame:
-    """Transactions from ``csv``, ``parquet`` or a catalog ``table``, valid rows only.
+                      exact_money: bool = False, valid_only: bool = True) -> DataFrame:
+    """Transactions from ``csv``, ``parquet`` or a catalog ``table``.
+
+    Rows without a type or a sender are left out unless ``valid_only`` is off.
 
     ``exact_money`` reads amounts as DECIMAL(18,2), which makes every sum exact
     and independent of the row order.
@@ -65,7 +67,7 @@ def load_transactions(spark: SparkSession, kind: str, location: str,
         df = check_header(df, columns).select(*columns)
     if exact_money and "amount" in df.columns:
         df = df.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
-    return df.filter(parsed())
+    return df.filter(parsed()) if valid_only else df
 
 
 def register_transactions(spark: SparkSession, kind: str, location: str,

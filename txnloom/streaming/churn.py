@@ -8,6 +8,7 @@ Messages of one account arrive in offset order, as they share a partition.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -132,9 +133,13 @@ def window_updater(p: ChurnParams, epoch_hour: int, trailing: bool) -> Callable:
         else:
             starts = {((epoch_hour + s - 1) // slide - j) * slide
                       for s in set(touched) for j in range(-(-span // slide))}
+            ordered = sorted(live)
             for start in sorted(starts):
-                inside = [s for s in sorted(live) if start <= epoch_hour + s - 1 < start + span]
-                if inside and start + span > limit_hour:
+                if start + span <= limit_hour:
+                    continue
+                first = start - epoch_hour + 1
+                inside = ordered[bisect_left(ordered, first):bisect_left(ordered, first + span)]
+                if inside:
                     out.append(_window_row(customer, start, span, [live[s] for s in inside]))
             live = {s: v for s, v in live.items()
                     if ((epoch_hour + s - 1) // slide) * slide + span > limit_hour}
@@ -217,7 +222,7 @@ def churn_stream(txns: DataFrame, baseline_path: str, alerts_path: str, checkpoi
                  topic: Callable[[DataFrame, int], None] | None = None) -> DataStreamWriter:
     """Writer of alerts by date, and to a topic as well where one is given."""
     store = batches.parquet_writer(alerts_path, ("alert_date",))
-    writer = store if topic is None else batches.both(store, topic)
+    writer = store if topic is None else batches.stored_then(store, alerts_path, topic)
     windows = churn_window_stream(txns, p, combine=stream.kind == "kafka")
     handle = churn_batch(Baseline(baseline_path), writer, p)
     return batches.configure(windows.writeStream.outputMode("update").foreachBatch(handle),

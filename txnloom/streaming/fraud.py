@@ -58,8 +58,13 @@ def fraud_batch(write_alerts: Callable[[DataFrame, int], None],
 
 
 def fraud_stream(txns: DataFrame, alerts_path: str, metrics_path: str, checkpoint: str,
-                 stream: StreamParams, p: FraudParams = FraudParams()) -> DataStreamWriter:
-    """Writer of alerts and metrics; replaying a batch replaces what it wrote."""
-    handle = fraud_batch(batches.parquet_writer(alerts_path),
-                         batches.json_writer(metrics_path), p)
+                 stream: StreamParams, p: FraudParams = FraudParams(),
+                 topic: Callable[[DataFrame, int], None] | None = None) -> DataStreamWriter:
+    """Writer of alerts and metrics; replaying a batch replaces what it wrote.
+
+    A ``topic`` gets the alerts as they were stored, so the batch is not read again.
+    """
+    store = batches.parquet_writer(alerts_path)
+    writer = store if topic is None else batches.stored_then(store, alerts_path, topic)
+    handle = fraud_batch(writer, batches.json_writer(metrics_path), p)
     return batches.configure(txns.writeStream.foreachBatch(handle), checkpoint, stream, APP_NAME)
