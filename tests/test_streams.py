@@ -201,3 +201,16 @@ def test_topic_gets_what_was_stored(spark, tmp_path):
     topic = lambda df, batch_id: sent.extend((r.key, json.loads(r.value)["txnId"]) for r in df.select("key", "value").collect())
     _drain(fraud_stream(decode_stream(messages), f"{out}/alerts", f"{out}/metrics", f"{out}/cp", p, topic=topic))
     assert sorted(sent) == [("C1", f"TXN00000000{i}") for i in range(3)]
+
+
+def test_python_workers_can_import_the_package_anywhere(spark):
+    import os
+    import zipfile
+
+    from pyspark import SparkFiles
+    from txnloom.session import ship_package
+    for _ in range(2):
+        ship_package(spark)
+    assert spark.sparkContext._python_includes.count("txnloom.zip") == 1
+    with zipfile.ZipFile(os.path.join(SparkFiles.getRootDirectory(), "txnloom.zip")) as z:
+        assert "txnloom/streaming/churn.py" in z.namelist()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +59,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+_PACKAGE_ZIP = "txnloom.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever they run; done once per context.
+
+    Only the few streaming operators with Python state functions need it.
+    """
+    sc = spark.sparkContext
+    if _PACKAGE_ZIP in sc._python_includes:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="txnloom-")) / _PACKAGE_ZIP
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    sc.addPyFile(str(target))

@@ -25,6 +25,7 @@ from ..functions.payloads import churn_alert
 from ..functions.rules import parsed
 from ..operators.churn import churn_alerts
 from ..params import ChurnParams, StreamParams
+from ..session import ship_package
 from ..sinks import batches
 from ..sources.tables import read_baseline
 
@@ -166,6 +167,7 @@ def churn_window_stream(txns: DataFrame, p: ChurnParams = ChurnParams(), combine
     tasks read each customer in offset order, as the Kafka source does.
     """
     spark = txns.sparkSession
+    ship_package(spark)
     epoch_hour = spark.range(1).select(
         (F.unix_timestamp(F.lit(p.epoch).cast("timestamp")) / 3600).cast("long")).first()[0]
     pieces = _pieces(txns, p)
