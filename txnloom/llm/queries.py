@@ -36,7 +36,7 @@ WITH d AS (SELECT doc_id, text, lang, source, n_chars, md5(coalesce(text, '')) A
       THEN len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS words FROM documents),
 s AS (SELECT source, CAST(sum(words) AS DOUBLE) AS have FROM d GROUP BY source),
 w AS (SELECT source, have, sqrt(have) AS weight FROM s WHERE have > 0),
-t AS (SELECT sum(have) AS have_all, list_reduce(list_prepend(CAST(0 AS DOUBLE), list(weight ORDER BY weight)), (a, b) -> a + b) AS weight_all FROM w),
+t AS (SELECT sum(have) AS have_all, list_reduce(list_prepend(CAST(0 AS DOUBLE), list(weight ORDER BY weight)), lambda a, b: a + b) AS weight_all FROM w),
 r AS (SELECT source, have_all * (weight / weight_all) / have AS rate FROM w, t),
 k AS (SELECT source, rate, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) AS top FROM r),
 l AS (SELECT source, i, sum(CASE WHEN i = 0 THEN 0 - rate ELSE ln(rate) - ln(CAST(i AS DOUBLE)) END)
@@ -52,3 +52,13 @@ def _(spark, d):
     from .mixing import mix_sources
     docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return mix_sources(docs)
+
+
+@_register("op3_toxicity")
+def _(spark, d):
+    from .toxicity import ToxicParams, may_learn, score_toxicity, train
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    p = ToxicParams()
+    scored = score_toxicity(docs, train(docs, table(spark, d, "labels"), p), keep=("doc_id",))
+    return scored.select("doc_id", (~may_learn()).alias("held_out"), F.col("toxic_score").alias("score"),
+                         (F.col("toxic_score") >= p.threshold).cast("int").alias("predicted"))
