@@ -62,3 +62,17 @@ def _(spark, d):
     scored = score_toxicity(docs, train(docs, table(spark, d, "labels"), p), keep=("doc_id",))
     return scored.select("doc_id", (~may_learn()).alias("held_out"), F.col("toxic_score").alias("score"),
                          (F.col("toxic_score") >= p.threshold).cast("int").alias("predicted"))
+
+
+@_register("op6_token_files")
+def _(spark, d):
+    from .token_files import read_tokens, token_folder, write_tokens
+    folder = token_folder(spark)
+    write_tokens(table(spark, d, "documents").select("doc_id", "text"), folder)
+    return read_tokens(spark, folder)
+
+
+@_register("op8_pieces")
+def _(spark, d):
+    from .sentencepieces import encode_pieces
+    return encode_pieces(table(spark, d, "documents"))

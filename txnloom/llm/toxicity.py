@@ -67,6 +67,7 @@ class ToxicParams:
     vocabulary: int = 400
     ridge: float = 1.0
     rounds: int = 60
+    label_logit: float = 4.0
     threshold: float = 0.7
 
 
@@ -172,39 +173,40 @@ def vote_moments(texts: DataFrame, model: ToxicModel) -> tuple[float, np.ndarray
     return float(cells["n"].iloc[0]), cells.sort_values("cell")["v"].to_numpy().reshape(size, size)
 
 
-def label_model(n: float, co: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Accuracies, correlations, weights and bias of the posterior from co-votes of ``n`` texts.
+def label_model(n: float, co: np.ndarray, prior: float,
+                labelled: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How much likelier each voter fires on toxic texts, conditional correlations, and log likelihood ratios.
 
-    delta_i is how much likelier voter i fires on toxic texts; covariance_ij = prior (1 - prior)
-    delta_i delta_j for voters independent given the class, so delta_i**2 follows from any triplet.
+    For voters independent given the class, covariance_ij = prior (1 - prior) delta_i delta_j, so
+    delta_i**2 follows from any triplet. A voter with no two partners takes ``labelled``, its difference
+    of firing rates on labelled rows. What a pair's covariance has beyond the product is correlation.
     """
     m = len(co)
     mean = np.diag(co) / max(n, 1)
     cov = co / max(n, 1) - np.outer(mean, mean)
     spread = prior * (1 - prior)
-    live = mean > 0
+    live = np.flatnonzero(mean > 0)
     delta = np.zeros(m)
-    for i in np.flatnonzero(live):
-        got = []
-        for j in np.flatnonzero(live):
-            for k in np.flatnonzero(live[:j]):
-                if i not in (j, k) and cov[j, k] > 1e-9 and cov[i, j] > 0 and cov[i, k] > 0:
-                    got.append(cov[i, j] * cov[i, k] / (cov[j, k] * spread))
-        # A voter that agrees with no two others keeps the most its firing rate allows.
-        delta[i] = min(math.sqrt(np.median(got)) if got else mean[i] / prior * 0.5, mean[i] / prior, 1.0)
+    for i in live:
+        got = [cov[i, j] * cov[i, k] / (cov[j, k] * spread) for j in live for k in live[live < j]
+               if i not in (j, k) and min(cov[j, k], cov[i, j], cov[i, k]) > 1e-6]
+        delta[i] = math.sqrt(np.median(got)) if len(got) >= 3 else labelled[i] if labelled is not None else mean[i] / prior / 2
+    # Firing rates stay between 0 and 1 in both classes.
+    delta = np.clip(delta, 0, np.minimum(mean / prior, (1 - mean) / (1 - prior)))
     within = cov - spread * np.outer(delta, delta)
-    scale = np.sqrt(np.maximum(np.diag(within), 1e-6))
-    correlation = np.clip(within / np.outer(scale, scale), -1, 1)
-    sure = np.abs(correlation) > 0.1
-    np.fill_diagonal(sure, True)
-    noise = np.where(sure, within, 0.0)
-    noise[np.diag_indices(m)] = np.maximum(np.diag(within), 1e-4) + 1e-3
-    low = np.linalg.eigvalsh(noise)[0]
-    if low < 1e-4:
-        noise[np.diag_indices(m)] += 1e-4 - low
-    weights = np.maximum(np.linalg.solve(noise, delta * live), 0.0)
-    mid = mean + (0.5 - prior) * delta
-    return delta, correlation, weights, float(-weights @ mid + math.log(prior / (1 - prior)))
+    scale = np.sqrt(np.maximum(np.diag(within), 1e-9))
+    correlation = np.clip(within / np.outer(scale, scale), 0, 1) if m else within
+    np.fill_diagonal(correlation, 0)
+    floor = 0.5 / max(n, 1)
+    ratio = np.log(np.maximum(mean + (1 - prior) * delta, floor) / np.maximum(mean - prior * delta, floor))
+    return delta, correlation, np.where(mean > 0, ratio, 0.0)
+
+
+def vote_logit(fired: list[int], ratio: np.ndarray, correlation: np.ndarray) -> float:
+    """Evidence of the voters that fired; a voter counts less the more it repeats others that fired."""
+    if not fired:
+        return 0.0
+    return float((ratio[fired] / (1 + correlation[np.ix_(fired, fired)].sum(1))).sum())
 
 
 def _platt(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -268,7 +270,6 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicParams = ToxicParams()) ->
     model = voters(mined[:p.mined])
     n, co = vote_moments(docs.where(may_learn()), model)
     prior = min(max(n_toxic / max(n_toxic + n_rest, 1), 0.01), 0.5)
-    delta, correlation, weights, bias = label_model(n, co, prior)
 
     # Posteriors on the bounded sample; features are the fixed votes and the telling terms.
     n_fixed = len(model.names) - len(model.terms)
@@ -288,13 +289,18 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicParams = ToxicParams()) ->
     sample = with_columns_of(got.select("doc_id", "text", "_toxic"), describe, "fired array<int>, has array<int>",
                              keep=("doc_id", "_toxic")).orderBy("doc_id").limit(p.fit_rows).toPandas()
     y = sample["_toxic"].to_numpy() == 1
+    fired = [list(map(int, x)) for x in sample["fired"]]
+    rates = np.zeros((2, len(model.names)))
+    for f, toxic in zip(fired, y):
+        rates[int(toxic), f] += 1
+    delta, correlation, ratio = label_model(
+        n, co, prior, rates[1] / max(y.sum(), 1) - rates[0] / max((~y).sum(), 1))
     if not y.any():
         return ToxicModel(model.names, model.groups, model.patterns, tuple(delta), correlation, {},
                           np.full(n_fixed, 4.0), -3.0)
-    fired = [list(map(int, x)) for x in sample["fired"]]
-    logit = np.array([weights[f].sum() for f in fired]) + bias
-    a, b = _platt(logit, y) if y.any() and not y.all() else (1.0, 0.0)
-    posterior = 1 / (1 + np.exp(-np.clip(a * logit + b, -30, 30)))
+    # The label of a row is one more voter, of a known high accuracy.
+    logit = np.array([vote_logit(f, ratio, correlation) for f in fired]) + math.log(prior / (1 - prior))
+    posterior = 1 / (1 + np.exp(-np.clip(logit + p.label_logit * (2.0 * y - 1), -30, 30)))
     lists = [list(map(int, h)) for h in sample["has"]]
     w, c = _fit(lists, posterior, n_fixed + len(vocabulary), p)
     # The score is calibrated on the labelled sample, so that 0.7 means what it says.
