@@ -14,19 +14,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: A run of white space in which a blank stands before more white space or the end.
-_MIXED = re.compile(r"\s (?:\s|\Z)")
 _SLICE_BYTES = 8 << 20
 
 
 class ChunkEncoder:
     """``lead(chunks)`` encodes words with a blank before them, ``bare(texts)`` texts as they are.
 
-    Both return one ``bytes`` of little-endian unsigned 32-bit ids per input.
+    Both return one ``bytes`` of little-endian unsigned 32-bit ids per input. Texts in which ``mixed``
+    is found go to ``bare`` as a whole.
     """
 
     def __init__(self, lead: Callable[[list[str]], list[bytes]], bare: Callable[[list[str]], list[bytes]],
-                 lead_first: bool, mixed: bool, most: int = 1_000_000):
+                 lead_first: bool, mixed: re.Pattern, most: int = 1_000_000):
         self.lead, self.bare, self.lead_first, self.mixed, self.most = lead, bare, lead_first, mixed, most
         self.known: dict[str, bytes] = {}
 
@@ -56,7 +55,7 @@ class ChunkEncoder:
         filled = pc.fill_null(texts, "")
         plain = filled.to_pylist()
         out: list[bytes] = [b""] * len(plain)
-        whole = [i for i, t in enumerate(plain) if t and self.mixed and _MIXED.search(t)]
+        whole = [i for i, t in enumerate(plain) if t and self.mixed.search(t)]
         for i, ids in zip(whole, self.bare([plain[i] for i in whole]) if whole else []):
             out[i] = ids
         odd = set(whole)

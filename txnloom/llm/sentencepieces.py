@@ -5,8 +5,8 @@ UTF-8 byte pieces, at a score below every piece. ``StreamingViterbi`` reads char
 other and keeps a window of the longest piece. Whenever the backpointers of all paths that still live
 meet in one boundary, the ids before it are final and leave the window.
 
-No piece that can win has a blank mark inside, so all paths meet where a word starts; equal words are
-thus encoded once per worker and batch.
+No piece has a blank mark behind another character, so all paths meet where a run of marks starts; equal
+words are thus encoded once per worker and batch.
 
 Defined cases: NULL and empty texts have no ids. A text's own U+2581 is decoded as a blank, as in the
 format itself; ``round_trip`` tells where decoding does not give the text back. Ties keep the longer
@@ -16,6 +16,7 @@ pass through; columns named like a result are replaced. Vocabularies are never t
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,9 @@ from .chunks import ChunkEncoder
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
+#: Marks and what follows them up to the next mark; texts in which marks may touch.
+_RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_MIXED = re.compile(f"  |{MARK}|\\A ")
 
 
 def model_path(name: str = MODEL) -> str:
@@ -50,13 +54,11 @@ class Pieces:
         self.bytes = {int(texts[i][3:5], 16): i for i in range(self.size) if sp.is_byte(i)}
         self.unknown = next((i for i in range(self.size) if sp.is_unknown(i)), 0)
         self.low = min(score.values()) - 10.0
-        # A piece with a mark inside loses against its parts when the part scores add up to more.
-        self.inner = any(MARK in t[1:] and s >= len(t) * score.get(MARK, self.low) for t, s in score.items())
         self.trie: dict = {}
         self.longest = 1
+        if any(MARK in texts[i].lstrip(MARK) for i in plain):
+            raise ValueError("a piece joins two words; texts cannot be encoded word by word")
         for i in plain:
-            if MARK in texts[i][1:] and not self.inner:
-                continue
             node = self.trie
             for ch in texts[i]:
                 node = node.setdefault(ch, {})
@@ -167,9 +169,15 @@ def piece_encoder(path: str) -> tuple[Pieces, ChunkEncoder]:
             return [np.array(encode_stream(pieces, MARK + c), "<u4").tobytes() for c in chunks]
 
         def bare(texts: list[str]) -> list[bytes]:
-            return [np.array(encode_stream(pieces, MARK + t.replace(" ", MARK)), "<u4").tobytes() for t in texts]
-
-        _LOADED[path] = pieces, ChunkEncoder(lead, bare, lead_first=True, mixed=pieces.inner)
+            known: dict[str, bytes] = {}
+            out = []
+            for t in texts:
+                runs = _RUNS.findall(MARK + t.replace(" ", MARK))
+                known.update((r, np.array(encode_stream(pieces, r), "<u4").tobytes()) for r in set(runs) - known.keys())
+                out.append(b"".join([known[r] for r in runs]))
+            return out
+
+        _LOADED[path] = pieces, ChunkEncoder(lead, bare, lead_first=True, mixed=_MIXED)
     return _LOADED[path]
 
 

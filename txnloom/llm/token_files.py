@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,8 @@ from .chunks import ChunkEncoder
 from .common import map_batches, scratch_path, smallest_by_hash, stored
 
 VOCABULARY = "byte_bpe_50k.json"
+#: A run of white space in which a blank stands before more white space or the end.
+_MIXED = re.compile(r"\s (?:\s|\Z)")
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<i8"), ("n", "<u4"), ("at", "<u8")])
 
 
@@ -90,7 +93,7 @@ def byte_bpe_encoder(path: str) -> ChunkEncoder:
         out.update(zip(rest, bare([" " + c for c in rest])))
         return [out[c] for c in chunks]
 
-    _ENCODERS[path] = ChunkEncoder(lead, bare, lead_first=False, mixed=True)
+    _ENCODERS[path] = ChunkEncoder(lead, bare, lead_first=False, mixed=_MIXED)
     return _ENCODERS[path]
 
 
