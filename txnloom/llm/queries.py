@@ -76,3 +76,9 @@ def _(spark, d):
 def _(spark, d):
     from .sentencepieces import encode_pieces
     return encode_pieces(table(spark, d, "documents"))
+
+
+@_register("op9_personal_data")
+def _(spark, d):
+    from .pii import personal_data
+    return personal_data(table(spark, d, "documents"), keep=("doc_id",))
