@@ -82,3 +82,9 @@ def _(spark, d):
 def _(spark, d):
     from .pii import personal_data
     return personal_data(table(spark, d, "documents"), keep=("doc_id",))
+
+
+@_register("op5_near_duplicates")
+def _(spark, d):
+    from .neardup import near_duplicates
+    return near_duplicates(table(spark, d, "documents"))
