@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -13,7 +15,7 @@ from pyspark.sql.types import StructType
 from ..session import checkpointed, scratch_path, ship_package
 
 __all__ = ["checkpointed", "scratch_path", "table", "id_hash", "with_columns_of", "map_batches",
-           "smallest_by_hash", "stored", "words_of"]
+           "small_batches",            "smallest_by_hash", "stored", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,19 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes in a text column (or one row)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes.astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: computed once, safe against lost executors."""
     path = scratch_path(df.sparkSession, label)
@@ -60,8 +75,10 @@ def with_columns_of(df: DataFrame, make: Callable[[list], list], ddl: str, sourc
     schema = StructType(held.schema.fields[:-1] + new.fields)
     types = [f.type for f in to_arrow_schema(new)]
 
+    is_text = dict(df.dtypes)[source] == "string"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, len(kept)) if is_text else batches:
             made = make(batch.column(len(kept)).to_pylist())
             arrays = [pa.array(v, t) for v, t in zip(made, types)]
             yield pa.RecordBatch.from_arrays(batch.columns[:len(kept)] + arrays,

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, words_of
+from .common import map_batches, small_batches, stored, words_of
 from .components import components
 
 LEVELS, REGION_LEVELS = 8, 3
@@ -87,7 +87,7 @@ def described(docs: DataFrame, p: ForestParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
         seeds = _seeds(p)
-        for b in batches:
+        for b in small_batches(batches, 1):
             n, cls, sig = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, p.words)
@@ -191,10 +191,9 @@ def _edge(part: int, side: int, row: list) -> pa.RecordBatch:
 def full_sets(docs: DataFrame, ids: DataFrame, p: ForestParams) -> DataFrame:
     """(rep, hashes) of the documents with these ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 500):
-                sets = [shingle_set(t, p.words).view(np.int64) for t in b.column(1).slice(k, 500).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 500), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "hashes"])
+        for b in small_batches(batches, 1):
+            sets = [shingle_set(t, p.words).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "hashes"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
     return map_batches(wanted, run, "rep bigint, hashes array<bigint>")
@@ -308,3 +307,17 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
               .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
     nameless = every.where("doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return joined.unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_per_group(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFrame:
+    """The documents, all columns, of which one stays per group; of rows that share an id one stays.
+
+    Rows with a NULL id all stay. Ids are joined as they are; only rows with a repeated id are sorted out
+    by their whole content.
+    """
+    groups = stored(near_duplicates(docs.select("doc_id", "text"), p), "groups")
+    named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows"))
+    one, many = named.where("_kept AND _rows = 1"), named.where("_kept AND _rows > 1")
+    single = docs.join(one.select("doc_id"), "doc_id", "left_semi")
+    repeated = docs.join(many.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return (single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))).select(*docs.columns)
