@@ -88,3 +88,9 @@ def _(spark, d):
 def _(spark, d):
     from .neardup import near_duplicates
     return near_duplicates(table(spark, d, "documents"))
+
+
+@_register("op7_lm_scoring")
+def _(spark, d):
+    from .lm_scoring import score_documents
+    return score_documents(table(spark, d, "documents"))
