@@ -94,3 +94,18 @@ def _(spark, d):
 def _(spark, d):
     from .lm_scoring import score_documents
     return score_documents(table(spark, d, "documents"))
+
+
+@_register("op4_nearest", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT vec_id, v, sqrt(list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(v, lambda x: x * x)), lambda a, b: a + b)) AS length FROM e),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, max(list_reduce(list_prepend(CAST(0 AS DOUBLE),
+    list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), lambda a, b: a + b) / (q.length * c.length)) AS score
+  FROM n q JOIN n c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v) GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""")
+def _(spark, d):
+    from .neighbours import nearest
+    return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
