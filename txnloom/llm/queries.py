@@ -109,3 +109,10 @@ FROM s QUALIFY rank <= 5""")
 def _(spark, d):
     from .neighbours import nearest
     return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_register("op10_cotraining")
+def _(spark, d):
+    from .cotraining import co_train, quality_scores
+    docs = table(spark, d, "documents")
+    return quality_scores(docs, co_train(docs, table(spark, d, "labels")))
