@@ -115,18 +115,16 @@ CTES = {
         FROM txn GROUP BY nameOrig) a, (SELECT max(step) AS max_step FROM txn) m
   WHERE customerId LIKE 'C%' AND txn_history_count >= 5 AND max_step - last_active_step > 72""",
     "mart": """
-  SELECT t.nameOrig AS customerId, t.step, count(*) AS txn_count,
-    CAST(sum(t.amount) AS DOUBLE) AS total_amount,
-    CAST(sum(t.amount) AS DOUBLE) / count(*) AS avg_amount,
-    CAST(max(t.amount) AS DOUBLE) AS max_amount,
-    count(*) FILTER (t.isFraud = 1) AS fraud_count,
-    string_agg(DISTINCT t.type, ',' ORDER BY t.type) AS txn_types,
-    CAST(max(l.newbalanceOrig) AS DOUBLE) AS last_balance
-  FROM txn t LEFT JOIN (
-    SELECT * FROM (SELECT nameOrig, step, newbalanceOrig, row_number() OVER (
-      PARTITION BY nameOrig, step ORDER BY ingest_ts DESC, txnId DESC) AS rn FROM txn) WHERE rn = 1) l
-    ON t.nameOrig = l.nameOrig AND t.step = l.step
-  GROUP BY t.nameOrig, t.step""",
+  SELECT nameOrig AS customerId, step, count(*) AS txn_count, CAST(sum(amount) AS DOUBLE) AS total_amount,
+    CAST(sum(amount) AS DOUBLE) / count(*) AS avg_amount, CAST(max(amount) AS DOUBLE) AS max_amount,
+    count(*) FILTER (isFraud = 1) AS fraud_count, string_agg(DISTINCT type, ',' ORDER BY type) AS txn_types,
+    CAST(arg_max(newbalanceOrig, (ingest_ts, txnId)) AS DOUBLE) AS last_balance
+  FROM txn GROUP BY ALL""",
+    "landed_mart": """
+  SELECT nameOrig AS customerId, step, count(*) AS txn_count, round(CAST(sum(amount) AS DOUBLE), 2) AS total_amount,
+    count(*) FILTER (isFraud = 1) AS fraud_count,
+    CAST(arg_max(newbalanceOrig, (ingest_ts, txnId)) AS DOUBLE) AS last_balance
+  FROM txn WHERE row_no IN (SELECT row_no FROM checked WHERE problem_text = '') GROUP BY nameOrig, step""",
     # averages are rounded half up on whole cents
     "summary": """
   SELECT type AS transaction_type, step, CAST(sum(amount) AS DOUBLE) AS total_volume,
@@ -176,6 +174,14 @@ CTES = {
     coalesce(max(r.low_run), 0) AS low_run
   FROM evt_window w LEFT JOIN win_run r ON r.nameOrig = w.nameOrig AND r.ws = w.ws
   GROUP BY w.nameOrig, w.ws""",
+    "evt_tail": """
+  SELECT *, coalesce(newbalanceOrig < 500, FALSE) AS low
+  FROM (SELECT *, max(step) OVER (PARTITION BY nameOrig) AS last FROM evt) WHERE step > last - 24""",
+    "tail_run": """
+  SELECT nameOrig, max(n) AS low_run FROM (SELECT nameOrig, count(*) AS n FROM (
+    SELECT nameOrig, low, row_number() OVER (PARTITION BY nameOrig ORDER BY step, kafka_offset)
+      - row_number() OVER (PARTITION BY nameOrig, low ORDER BY step, kafka_offset) AS island FROM evt_tail)
+  WHERE low GROUP BY nameOrig, island) GROUP BY nameOrig""",
     "win_scored": """
   SELECT w.*,
     coalesce(b.hist_freq_per_12 > 1.0 AND w_count / 2.0::DOUBLE < 1.0, FALSE) AS s1,
@@ -226,7 +232,7 @@ CTES = {
   SELECT row_no, CAST(row_no % 4 AS INTEGER) AS part,
     CASE WHEN row_no % 2 = 0 THEN '{"schema":{"type":"struct"},"payload":' || body || '}' ELSE body END AS value
   FROM (SELECT *,
-    '{"step":' || CASE WHEN kind = 1 THEN '"' || step || '"' ELSE CAST(step AS VARCHAR) END
+    '{"step":' || CASE WHEN kind = 1 THEN '"' || step || '"' WHEN kind = 8 THEN '5000000000' ELSE CAST(step AS VARCHAR) END
     || ',"type":"' || CASE WHEN kind = 3 THEN 'BOGUS' ELSE type END
     || '","amount":' || CASE WHEN kind = 6 THEN '"much"' ELSE CAST(amount AS VARCHAR) END
     || ',"nameOrig":"' || CASE WHEN kind = 4 THEN '' ELSE nameOrig END
@@ -237,7 +243,7 @@ CTES = {
     || ',"isFlaggedFraud":' || CASE WHEN kind = 7 THEN 'true' ELSE CAST(isFlaggedFraud AS VARCHAR) END
     || CASE WHEN kind = 2 THEN '' ELSE ',"txnId":"' || txnId || '"' END
     || ',"ingest_ts":"' || ingest_ts || CASE WHEN kind = 0 THEN '"' ELSE '"}' END AS body
-    FROM (SELECT *, CASE WHEN row_no % 97 = 0 THEN row_no // 97 % 8 ELSE -1 END AS kind FROM txn))""",
+    FROM (SELECT *, CASE WHEN row_no % 97 = 0 THEN row_no // 97 % 9 ELSE -1 END AS kind FROM txn))""",
     "opened": """
   SELECT row_no, part, json_valid(value) AS ok,
     CASE WHEN json_valid(value) THEN
@@ -246,17 +252,18 @@ CTES = {
   FROM message""",
     "checked": """
   SELECT row_no, part, ok, doc,
-    CASE WHEN NOT ok THEN 'invalid JSON'
-      WHEN json_type(doc, '$.txnId') IS NULL THEN 'missing field: txnId'
+    CASE WHEN NOT ok THEN 'not JSON'
+      WHEN json_type(doc, '$.txnId') IS NULL THEN 'absent: txnId'
       ELSE concat_ws('; ',
-        CASE WHEN json_type(doc, '$.isFraud') NOT IN ('UBIGINT', 'BIGINT') THEN 'isFraud is not an int' END,
+        CASE WHEN json_type(doc, '$.isFraud') NOT IN ('UBIGINT', 'BIGINT') THEN 'isFraud: whole number expected' END,
         CASE WHEN json_type(doc, '$.isFlaggedFraud') NOT IN ('UBIGINT', 'BIGINT')
-          THEN 'isFlaggedFraud is not an int' END,
-        CASE WHEN json_type(doc, '$.amount') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'amount is not numeric' END,
-        CASE WHEN json_extract_string(doc, '$.nameOrig') = '' THEN 'nameOrig is not a non-empty string' END,
-        CASE WHEN json_type(doc, '$.step') NOT IN ('UBIGINT', 'BIGINT') THEN 'step is not an int' END,
+          THEN 'isFlaggedFraud: whole number expected' END,
+        CASE WHEN json_type(doc, '$.amount') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'amount: number expected' END,
+        CASE WHEN json_extract_string(doc, '$.nameOrig') = '' THEN 'nameOrig: text expected' END,
+        CASE WHEN json_type(doc, '$.step') NOT IN ('UBIGINT', 'BIGINT') THEN 'step: whole number expected'
+          WHEN CAST(json_extract(doc, '$.step') AS BIGINT) > 2147483647 THEN 'step: beyond 32 bits' END,
         CASE WHEN json_extract_string(doc, '$.type') NOT IN
-          ('PAYMENT', 'TRANSFER', 'CASH_IN', 'CASH_OUT', 'DEBIT') THEN 'type not allowed' END)
+          ('PAYMENT', 'TRANSFER', 'CASH_IN', 'CASH_OUT', 'DEBIT') THEN 'type: unknown' END)
     END AS problem_text
   FROM opened""",
     "raw_row": """

@@ -110,9 +110,10 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph(g.accounts.filter(known), g.transactions, g.sent, g.received)
 
 
-# Text of one message; every 97th is broken in one of eight ways.
+# Text of one message; every 97th is broken in one of nine ways.
 _BODY = """concat(
-  '{"step":', CASE WHEN kind = 1 THEN concat('"', cast(step as string), '"') ELSE cast(step as string) END,
+  '{"step":', CASE WHEN kind = 1 THEN concat('"', cast(step as string), '"')
+    WHEN kind = 8 THEN '5000000000' ELSE cast(step as string) END,
   ',"type":"', CASE WHEN kind = 3 THEN 'BOGUS' ELSE type END,
   '","amount":', CASE WHEN kind = 6 THEN '"much"' ELSE cast(amount as string) END,
   ',"nameOrig":"', CASE WHEN kind = 4 THEN '' ELSE nameOrig END,
@@ -130,7 +131,7 @@ _BODY = """concat(
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages of the transactions: half in an envelope, a few broken."""
     rows = txn(spark, sf_dir, balances=True).withColumn(
-        "kind", F.expr("CASE WHEN row_no % 97 = 0 THEN row_no div 97 % 8 ELSE -1 END"))
+        "kind", F.expr("CASE WHEN row_no % 97 = 0 THEN row_no div 97 % 9 ELSE -1 END"))
     return rows.withColumn("body", F.expr(_BODY)).selectExpr(
         "nameOrig AS key",
         """CASE WHEN row_no % 2 = 0 THEN concat('{"schema":{"type":"struct"},"payload":', body, '}')

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from txnloom.operators.churn import dedupe_alerts, standing_alerts
+from txnloom.operators.latest import latest_by
 from txnloom.operators.summaries import customer_baseline
 from txnloom.params import StreamParams
+from txnloom.schemas import TXN_COLUMNS
 from txnloom.session import scratch_path
 from txnloom.sources.messages import decode_stream, read_message_stream
 from txnloom.streaming.churn import churn_stream, churn_window_stream
@@ -11,13 +14,17 @@ from txnloom.streaming.flagged import decode_alerts, maintain_flagged, read_flag
 from txnloom.streaming.fraud import fraud_stream
 from txnloom.streaming.landing import landing_streams
 from txnloom.functions.clock import step_of
-from txnloom.sinks.batches import configure
+from txnloom.sinks.batches import configure, parquet_writer
 
 from .churning import PARAMS
 from .core import query
 from .inputs import evt, messages
 
 
+#: Triggers of every stream query.
+SLICES = 6
+
+
 def _drain(*writers):
     """Run the queries one after the other until their input is used up."""
     for w in writers:
@@ -25,13 +32,29 @@ def _drain(*writers):
 
 
 def _topic(spark, df, label):
-    """Messages as files in offset order, read back as a stream."""
+    """Messages as files in offset order, one file and trigger per slice of offsets.
+
+    The file source reads files by their age, so slices are written one after the other.
+    """
     path = scratch_path(spark, label)
-    (df.repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(path))
-    p = StreamParams(kind="parquet", location=path, max_per_trigger=1000, once=True)
+    kept = scratch_path(spark, f"{label}-all")
+    df.write.parquet(kept)
+    rows = spark.read.parquet(kept)
+    cuts = rows.agg(F.percentile_approx("offset", [i / SLICES for i in range(1, SLICES)])).first()[0] or []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows.where((F.lit(low is None) | (F.col("offset") > low)) & (F.lit(high is None) | (F.col("offset") <= high)))
+        part.coalesce(1).sortWithinPartitions("offset").write.mode("append").parquet(path)
+    p = StreamParams(kind="parquet", location=path, max_per_trigger=1, once=True)
     return read_message_stream(spark, p), p
 
 
+def land(spark, d, out):
+    """All messages through the landing stream: rows under ``table``, bad messages under ``dead``."""
+    stream, p = _topic(spark, messages(spark, d), "landing-topic")
+    _drain(*landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p))
+
+
 def _event_messages(spark, d):
     return evt(spark, d).select(
         F.col("nameOrig").alias("key"),
@@ -41,10 +64,10 @@ def _event_messages(spark, d):
 
 
 @query("stream_fraud_alerts", "ST1 ST6 ST7 S1 K1 P25", """
-SELECT CASE WHEN row_no % 97 <> 0 OR row_no // 97 % 8 <> 2 THEN row_no END AS n,
-  CASE WHEN row_no % 97 = 0 AND row_no // 97 % 8 = 4 THEN '' ELSE nameOrig END AS account,
+SELECT CASE WHEN row_no % 97 <> 0 OR row_no // 97 % 9 <> 2 THEN row_no END AS n,
+  CASE WHEN row_no % 97 = 0 AND row_no // 97 % 9 = 4 THEN '' ELSE nameOrig END AS account,
   CAST(amount AS DOUBLE) AS amount FROM flagged
-WHERE row_no IN (SELECT row_no FROM checked WHERE ok) AND NOT (row_no % 97 = 0 AND row_no // 97 % 8 IN (3, 6))""")
+WHERE row_no IN (SELECT row_no FROM checked WHERE ok) AND NOT (row_no % 97 = 0 AND row_no // 97 % 9 IN (3, 6))""")
 def _(spark, d):
     stream, p = _topic(spark, messages(spark, d), "fraud-topic")
     out = scratch_path(spark, "fraud")
@@ -58,7 +81,7 @@ def _(spark, d):
 @query("stream_fraud_metrics", "ST1 ST9 K4 S9 A18", """
 SELECT count(*) AS total_count, count(*) FILTER (ok) AS parsed_count,
   (SELECT count(*) FROM flagged WHERE row_no IN (SELECT row_no FROM checked WHERE ok)
-     AND NOT (row_no % 97 = 0 AND row_no // 97 % 8 IN (3, 6))) AS flagged_count FROM checked""")
+     AND NOT (row_no % 97 = 0 AND row_no // 97 % 9 IN (3, 6))) AS flagged_count FROM checked""")
 def _(spark, d):
     from txnloom.sources.tables import read_metrics
     stream, p = _topic(spark, messages(spark, d), "metrics-topic")
@@ -73,54 +96,56 @@ SELECT customerId, window_start_step, w_count, w_avg_amount, cashout_count, paym
 def _(spark, d):
     stream, p = _topic(spark, _event_messages(spark, d), "window-topic")
     out = scratch_path(spark, "windows")
-    from txnloom.sinks.batches import parquet_writer
     windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True)
     _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
                      f"{out}/checkpoint", p))
-    return spark.read.parquet(f"{out}/windows").select(
-        "customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count", "w_avg_amount",
-        "cashout_count", "payment_debit_count", "low_run")
+    last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId", "window"], ["batch_id"])
+    return last.select("customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count", "w_avg_amount",
+                       "cashout_count", "payment_debit_count", "low_run")
 
 
 @query("stream_churn_alerts", "ST4 J1 K3 S10 T6 P25", """
 SELECT customerId, window_start_step, window_end_step, signal_names, signal_count, w_count AS window_txn_count,
   w_avg_2 AS window_avg_amount FROM alert""")
 def _(spark, d):
-    from txnloom.operators.churn import dedupe_alerts
     out = scratch_path(spark, "churn")
     customer_baseline(evt(spark, d)).write.parquet(f"{out}/baseline")
     stream, p = _topic(spark, _event_messages(spark, d), "churn-topic")
-    _drain(churn_stream(decode_stream(stream), f"{out}/baseline", f"{out}/alerts", f"{out}/checkpoint", p, PARAMS))
-    return dedupe_alerts(spark.read.parquet(f"{out}/alerts")).select(
+    txns = decode_stream(stream)
+    _drain(churn_stream(txns, f"{out}/baseline", f"{out}/alerts", f"{out}/checkpoint", p, PARAMS),
+           configure(churn_window_stream(txns, PARAMS, combine=True).writeStream.outputMode("update")
+                     .foreachBatch(parquet_writer(f"{out}/windows")), f"{out}/checkpoint-windows", p))
+    last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId", "window"], ["batch_id"])
+    return standing_alerts(dedupe_alerts(spark.read.parquet(f"{out}/alerts")), last).select(
         "customerId", "window_start_step", "window_end_step", F.array_join("signals", ",").alias("signal_names"),
         "signal_count", "window_txn_count", "window_avg_amount")
 
 
 @query("stream_trailing_churn", "ST10", """
-SELECT customerId, last AS window_end_step, count(*) AS w_count,
-  count(*) FILTER (type = 'CASH_OUT') AS cashout_count FROM (
-  SELECT nameOrig AS customerId, type, step, max(step) OVER (PARTITION BY nameOrig) AS last FROM evt)
-WHERE step > last - 24 GROUP BY customerId, last""")
+SELECT nameOrig AS customerId, last AS window_end_step, count(*) AS w_count, CAST(sum(amount) AS DOUBLE) / count(*) AS w_avg_amount,
+  count(*) FILTER (type = 'CASH_OUT') AS cashout_count, count(*) FILTER (type IN ('PAYMENT', 'DEBIT')) AS payment_debit_count,
+  coalesce(any_value(low_run), 0) AS low_run
+FROM evt_tail LEFT JOIN tail_run USING (nameOrig) GROUP BY nameOrig, last""")
 def _(spark, d):
-    from txnloom.sinks.batches import parquet_writer
     stream, p = _topic(spark, _event_messages(spark, d), "trailing-topic")
     out = scratch_path(spark, "trailing")
     windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True, trailing=True)
     _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
                      f"{out}/checkpoint", p))
-    return spark.read.parquet(f"{out}/windows").select(
-        "customerId", (step_of(F.col("window.end")) - 1).alias("window_end_step"), "w_count", "cashout_count")
+    last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId"], [F.col("window.end"), F.col("batch_id")])
+    return last.select("customerId", (step_of(F.col("window.end")) - 1).alias("window_end_step"), "w_count", "w_avg_amount",
+                       "cashout_count", "payment_debit_count", "low_run")
 
 
 @query("stream_landing", "ST12 K7 ST8", """
-SELECT step, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM txn
-WHERE row_no IN (SELECT row_no FROM checked WHERE problem_text = '') GROUP BY step""")
+SELECT step, type, CAST(amount AS DOUBLE) AS amount, nameOrig, CAST(oldbalanceOrg AS DOUBLE) AS oldbalanceOrg,
+  CAST(newbalanceOrig AS DOUBLE) AS newbalanceOrig, nameDest, CAST(oldbalanceDest AS DOUBLE) AS oldbalanceDest,
+  CAST(newbalanceDest AS DOUBLE) AS newbalanceDest, isFraud, isFlaggedFraud, txnId, ingest_ts FROM txn
+WHERE row_no IN (SELECT row_no FROM checked WHERE problem_text = '')""")
 def _(spark, d):
-    stream, p = _topic(spark, messages(spark, d), "landing-topic")
     out = scratch_path(spark, "landing")
-    _drain(*landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p))
-    return spark.read.parquet(f"{out}/table").groupBy("step").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+    land(spark, d, out)
+    return spark.read.parquet(f"{out}/table").select(*TXN_COLUMNS)
 
 
 @query("stream_dead_letters", "ST12 V5", """

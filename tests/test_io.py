@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from pyspark.sql import functions as F
 
@@ -112,11 +113,31 @@ def test_single_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string").repartition(2)
     path = str(tmp_path / "out.csv")
     for _ in range(2):  # the second run replaces the file
-        assert tables.write_single_csv(df.orderBy("n"), path)
+        tables.write_single_csv(df.orderBy("n"), path)
     assert open(path).read().split() == ["n,s", "1,a", "2,b"]
-    assert not os.path.exists(path + "__tmp")
-    assert not tables.write_single_csv(df, path, max_rows=1)
-    assert os.path.isdir(path) and spark.read.option("header", True).csv(path).count() == 2
+    assert [x for x in os.listdir(tmp_path) if not x.startswith(".")] == ["out.csv"]
+    tables.write_single_csv(df.where("n > 5"), path)
+    assert open(path).read().split() == ["n,s"]
+
+
+def test_folders_become_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "step int, s string")
+    for by in ("step", None):
+        path = str(tmp_path / f"by-{by}")
+        tables.write_parquet(rows, path, (by,) if by else ())
+        tables.external_table(spark, "landed_rows", "step int, s string", path)
+        assert sorted(map(tuple, spark.table("landed_rows").select("step", "s").collect())) == [(1, "a"), (2, "b"), (2, "c")]
+    days = rows.selectExpr("*", "date_add(date'2023-01-01', step) AS day")
+    tables.write_parquet(days, str(tmp_path / "days"), ("day",))
+    tables.external_table(spark, "landed_rows", "step int, s string", str(tmp_path / "days"))
+    assert spark.table("landed_rows").where("day = date'2023-01-03'").count() == 2
+    spark.sql("DROP TABLE landed_rows")
+
+
+def test_baseline_with_a_wrong_schema_is_an_error(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "b"))
+    with pytest.raises(AnalysisException):
+        read_baseline(spark, str(tmp_path / "b"))
 
 
 def test_alerts_are_stored_by_date(spark, tmp_path):

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..params import FraudParams
-from ..schemas import CHURN_ALERT, ENVELOPE, TXN, TXN_COLUMNS
+from ..schemas import CHURN_ALERT, TXN, TXN_COLUMNS
 from .clock import utc_iso_now
 
 # Column types in the envelope's schema part.
@@ -15,8 +16,10 @@ _ENVELOPE_TYPES = {"int": "int32", "double": "double", "string": "string"}
 
 def decode_txn(value: Column) -> Column:
     """Transaction struct from a message in an envelope or bare; NULL fields if neither."""
-    wrapped = F.from_json(value, ENVELOPE)["payload"]
-    return F.when(wrapped.isNotNull(), wrapped).otherwise(F.from_json(value, TXN))
+    # One schema that fits both shapes, so that the text is parsed once.
+    opened = F.from_json(value, T.StructType([T.StructField("payload", TXN), *TXN.fields]))
+    bare = F.struct(*[opened[c].alias(c) for c in TXN_COLUMNS])
+    return F.coalesce(opened["payload"], bare)
 
 
 def encode_txn(envelope: bool = True) -> Column:

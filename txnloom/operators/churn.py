@@ -91,6 +91,12 @@ def dedupe_alerts(alerts: DataFrame, emitted: str = "detected_at") -> DataFrame:
     return latest_by(alerts, ["customerId", "window_end_step"], [emitted])
 
 
+def standing_alerts(alerts: DataFrame, windows: DataFrame) -> DataFrame:
+    """Alerts of windows as they last were: a window that has grown since its alert was judged anew."""
+    last = windows.select("customerId", F.col("window.start").alias("window_start"), F.col("w_count").alias("window_txn_count"))
+    return alerts.join(last, ["customerId", "window_start", "window_txn_count"], "left_semi")
+
+
 def max_churn_signals(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("customerId").agg(F.max("signal_count").alias("churn_signal_count"))
 

@@ -75,17 +75,13 @@ def flagged_transactions(flagged: DataFrame, epoch: str = SIM_EPOCH,
     return shaped.select(*[c for c in FLAGGED.fieldNames() if c in shaped.columns], *keep)
 
 
-def star(facts: DataFrame, dates: DataFrame, types: DataFrame, customers: DataFrame,
-         broadcast_dates: int = 1_000_000) -> DataFrame:
+def star(facts: DataFrame, dates: DataFrame, types: DataFrame, customers: DataFrame) -> DataFrame:
     """Flagged facts beside their date, type and customer; unmatched facts stay.
 
-    The five types are always broadcast. Dates are counted first, since a shuffle
-    of all facts by a few hundred steps would be skewed; above the limit, and for
-    the customers, Spark decides by size.
+    The five types are always broadcast. For dates and customers Spark decides by
+    size, at run time; a skewed step is split by AQE.
     """
     day = dates.select("step", "date", "iso_week", "week_start")
-    if day.limit(broadcast_dates + 1).count() <= broadcast_dates:
-        day = F.broadcast(day)
     kind = types.withColumnRenamed("transaction_type", "type")
     who = customers.withColumnRenamed("customerId", "nameOrig").select(
         "nameOrig", "segment", *[c for c in ("risk_tier", "clv_tier") if c in customers.columns])

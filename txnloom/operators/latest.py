@@ -43,13 +43,14 @@ def rolling_latest(df: DataFrame, key: str, arrival: str, max_rows: int,
     arrivals are kept, so that the result can be merged again.
     """
     seen = first or arrival
+    # The newest keys are found from two columns; only rows of those few keys are ranked and moved.
+    heads = (df.groupBy(F.col(key).alias("_key")).agg(F.min(seen).alias("first_arrival"))
+             .orderBy(F.desc("first_arrival"), F.desc("_key")).limit(max_rows))
     rest = [c for c in df.columns if c not in (key, arrival, first)]
-    last = [F.max(arrival).alias(arrival)] if first else []
-    merged = (df.groupBy(key)
-              .agg(F.min(seen).alias("first_arrival"), *last,
-                   F.max_by(F.struct(*rest), arrival).alias("_row")))
-    return (merged.select(key, "first_arrival", *([arrival] if first else []), "_row.*")
-            .orderBy(F.desc("first_arrival"), F.desc(key)).limit(max_rows))
+    kept = (df.drop(first) if first else df).join(F.broadcast(heads), F.col(key).eqNullSafe(F.col("_key")))
+    return (latest_by(kept, [key], [arrival])
+            .select(key, "first_arrival", *([arrival] if first else []), *rest)
+            .orderBy(F.desc("first_arrival"), F.desc(key)))
 
 
 def with_dedup_id(df: DataFrame, candidates: Sequence[str] = ("txnId", "txnID", "id")) -> DataFrame:

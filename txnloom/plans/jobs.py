@@ -27,7 +27,7 @@ from ..sources.tables import read_csv_text
 from ..streaming.churn import churn_stream
 from ..streaming.flagged import decode_alerts, maintain_flagged
 from ..streaming.fraud import fraud_stream
-from ..streaming.landing import landing_streams
+from ..streaming.landing import compact_landed, landing_streams
 from .warehouse import build_warehouse
 
 
@@ -84,8 +84,8 @@ def dormancy(spark, args):
     tables.write_parquet(summaries.dormancy_report(_txns(spark, args), DormancyParams.from_env()),
                          _out(args, "dormancy_report"))
     done = spark.read.parquet(_out(args, "dormancy_report"))
-    tables.write_single_csv(summaries.report_order(done, "dormancy_report"),
-                            _out(args, "exports/dormancy_report.csv"))
+    # One row per dormant customer: written by all tasks, not as one file.
+    tables.write_csv(summaries.report_order(done, "dormancy_report"), _out(args, "exports/dormancy_report"))
     scoring.histogram(done, "dormancy_severity").show()
 
 
@@ -128,7 +128,7 @@ def export(spark, args):
         "customer_products": profiles and dimensions.customer_products(profiles),
         "streaming_metrics": metrics,
         **{n: read(n) for n in ("transaction_summary", "daily_summary", "compliance_summary",
-                                "dormancy_report", "customer_risk_blend")},
+                                "dormancy_report", "customer_risk_blend", "flagged_transactions")},
     }
     for row in tables.export_datasets(datasets, _out(args, "exports"), args.list):
         print("{1:4} {0} - {2}".format(*row))
@@ -145,20 +145,20 @@ def ingest(spark, args):
     tables.write_parquet(bad, _out(args, "rejected"))
 
 
-def _stream(args) -> StreamParams:
+def _stream(args, trigger: str = "10 seconds") -> StreamParams:
     return StreamParams(kind=args.stream_kind, location=args.input,
                         bootstrap_servers=args.bootstrap_servers,
                         starting_offsets=args.starting_offsets,
-                        max_per_trigger=args.max_per_trigger, trigger=args.trigger, once=args.once)
+                        max_per_trigger=args.max_per_trigger, trigger=args.trigger or trigger, once=args.once)
 
 
 def _run(spark, args, *writers):
     queries = [w.start() for w in writers]
-    for q in queries:
-        stop_on_signal(q)
-        if args.once:
+    stop_on_signal(*queries)
+    if args.once:
+        for q in queries:
             q.awaitTermination()
-    if not args.once:
+    else:
         spark.streams.awaitAnyTermination()
 
 
@@ -188,9 +188,15 @@ def stream_churn(spark, args):
 
 
 def stream_landing(spark, args):
-    p = _stream(args)
+    p = _stream(args, trigger="5 minutes")
     _run(spark, args, *landing_streams(read_message_stream(spark, p), _out(args, "transactions"),
-                                       _out(args, "dead_letters"), _checkpoint(spark, args, "landing"), p))
+                                       _out(args, "dead_letters"), _checkpoint(spark, args, "landing"), p,
+                                       args.partition_by))
+
+
+def compact(spark, args):
+    """Landed folders rewritten with few files each, into another folder."""
+    compact_landed(spark, args.input, _out(args, "transactions"))
 
 
 def stream_flagged(spark, args):
@@ -203,7 +209,7 @@ def stream_flagged(spark, args):
 JOBS = {"risk": risk, "clv": clv, "baseline": baseline, "compliance": compliance,
         "customer-summary": customer_summary, "dormancy": dormancy,
         "transaction-summary": transaction_summary, "warehouse": warehouse, "risk-blend": risk_blend,
-        "export": export, "ingest": ingest, "stream-fraud": stream_fraud,
+        "export": export, "ingest": ingest, "compact": compact, "stream-fraud": stream_fraud,
         "stream-churn": stream_churn, "stream-landing": stream_landing,
         "stream-flagged": stream_flagged}
 
@@ -226,7 +232,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--output-topic", default="", help="send alerts to this topic as well")
     ap.add_argument("--starting-offsets", choices=("latest", "earliest"), default="latest")
     ap.add_argument("--max-per-trigger", type=int, default=100000)
-    ap.add_argument("--trigger", default="10 seconds")
+    ap.add_argument("--trigger", default="", help="10 seconds, for landing 5 minutes, unless given")
+    ap.add_argument("--partition-by", choices=("step", "day"), default="step")
     ap.add_argument("--once", action="store_true", help="drain what is available and stop")
     ap.add_argument("--reset-checkpoint", action="store_true")
     return ap.parse_args(argv)

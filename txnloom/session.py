@@ -48,6 +48,18 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The JVM, a path in it and the file system that holds the path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    _, target, fs = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

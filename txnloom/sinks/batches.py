@@ -77,12 +77,24 @@ def reset_checkpoint(spark: SparkSession, checkpoint: str) -> bool:
     return fs.exists(path) and fs.delete(path, True)
 
 
-def stop_on_signal(query: StreamingQuery) -> None:
-    """Let the running micro-batch finish when the process is asked to end."""
+def stop_on_signal(*queries: StreamingQuery, patience: float = 600.0) -> None:
+    """When the process is asked to end, let every running micro-batch finish, then stop all queries.
+
+    A batch that lasts longer than ``patience`` seconds is given up; it runs again at the next start.
+    """
     import signal
+    import time
 
     def stop(signum, frame) -> None:
-        query.stop()
+        until = time.monotonic() + patience
+        waiting = [q for q in queries if q.isActive]
+        while waiting and time.monotonic() < until:
+            for q in [q for q in waiting if not q.status["isTriggerActive"]]:
+                q.stop()
+                waiting.remove(q)
+            time.sleep(0.05)
+        for q in waiting:
+            q.stop()
 
     for s in (signal.SIGINT, signal.SIGTERM):
         signal.signal(s, stop)

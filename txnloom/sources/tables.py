@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import parsed
 from ..schemas import BASELINE, CSV_COLUMNS, METRICS, TXN
+from ..session import exists
 
 # The columns every batch job needs.
 CORE_COLUMNS = ("step", "type", "amount", "nameOrig", "newbalanceOrig", "nameDest", "isFraud")
@@ -81,12 +82,11 @@ def register_transactions(spark: SparkSession, kind: str, location: str,
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:
-    """Customer baseline, or no rows where none was built yet."""
+    """Customer baseline, or no rows where none was built yet. A wrong schema is an error."""
     wanted = ("customerId", "hist_freq_per_12", "all_time_avg_amount")
-    try:
-        return spark.read.parquet(path).select(*wanted)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], BASELINE).select(*wanted)
+    return spark.read.parquet(path).select(*wanted)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -11,24 +11,33 @@ from ..operators.ingest import message_checks, split_good_bad
 from ..params import SIM_EPOCH, StreamParams
 from ..schemas import TXN_COLUMNS
 from ..sinks.batches import configure
+from ..sinks.tables import folder_column, write_parquet
 from ..sources.messages import decode_stream
 
 
 def landing_streams(messages: DataFrame, table_path: str, dead_path: str, checkpoint: str,
-                    stream: StreamParams, partition_by: str = "step",
-                    epoch: str = SIM_EPOCH) -> tuple[DataStreamWriter, DataStreamWriter]:
+                    stream: StreamParams, partition_by: str = "step", epoch: str = SIM_EPOCH,
+                    files_per_folder: int = 4) -> tuple[DataStreamWriter, DataStreamWriter]:
     """Writers of good rows and of bad messages, each with its own checkpoint.
 
     ``partition_by`` may be ``day``: many steps of little data make small files.
-    The trigger interval sets how long a file collects rows.
+    The trigger interval sets how long a file collects rows. Rows of one folder
+    meet in at most ``files_per_folder`` tasks, so a trigger adds so many files to it.
     """
     good, bad = split_good_bad(message_checks(messages))
     rows = decode_stream(good).select(*TXN_COLUMNS)
     if partition_by == "day":
         rows = rows.withColumn("day", F.to_date(event_ts(F.col("step"), epoch)))
-    land = (rows.writeStream.format("parquet").option("path", table_path)
+    deal = F.pmod(F.xxhash64("txnId"), F.lit(files_per_folder))
+    land = (rows.repartition(F.col(partition_by), deal).writeStream.format("parquet").option("path", table_path)
             .option("compression", "snappy").partitionBy(partition_by).outputMode("append"))
     dead = (bad.select("key", "value", "partition", "offset", "problems")
             .writeStream.format("json").option("path", dead_path).outputMode("append"))
     return (configure(land, f"{checkpoint}/landing", stream, "txnloom-landing"),
             configure(dead, f"{checkpoint}/dead-letters", stream, "txnloom-dead-letters"))
+
+
+def compact_landed(spark: SparkSession, path: str, target: str) -> None:
+    """The landed folders with few files each, written to a new place; a large folder keeps several."""
+    by = folder_column(spark, path)
+    write_parquet(spark.read.parquet(path), target, (by,) if by else ())
