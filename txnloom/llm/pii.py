@@ -34,6 +34,8 @@ KINDS = BASE_KINDS + ("ssn", "iban", "secret", "name")
 LABELLED = """
 please call me at [phone 555-0101] tomorrow
 call [phone (212) 555-0187] for details
+please call [phone 555-0120] now
+call [phone 555-0199] after six
 phone: [phone 415-555-2671]
 tel [phone 020 7946 0958] or ask at the desk
 you can reach me on my mobile [phone 07700 900123] after five
@@ -107,6 +109,7 @@ _TELLING = ("call phone tel telephone mobile fax cell whatsapp handy téléphone
             "key name is my at dot (at) (dot) [at] [dot] order version license parcel").split()
 _MARKING = re.compile(r"[0-9@]|\b(?:ssn|iban|password|passwd|api_?key|name\s+is|dot|whatsapp)\b|[(\[](?:at|dot)[)\]]", re.I)
 _NAMED = re.compile(r"\bname\s+is\s+\Z", re.I)
+_CARDED = re.compile(r"\b(?:card|visa|mastercard|credit)\b", re.I)
 _WORD = re.compile(r"[^\s]+")
 _EDGE = ".,;:!?\"'|*#%&$<>{}"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -387,7 +390,8 @@ def field_spans(field: Field, texts: list[str | None]) -> list[list[tuple[int, s
                     s += 1
                 while e > s and text[e - 1] in _EDGE:
                     e -= 1
-                if _plausible(kind, text[s:e]) and (kind != "name" or _NAMED.search(text, max(0, s - 24), s)):
+                named = {"name": _NAMED, "card": _CARDED}.get(kind)
+                if _plausible(kind, text[s:e]) and (named is None or named.search(text, max(0, s - 40), s)):
                     out[k].append((s, kind, e))
                 open_at = None
             if name[0] == "B":

@@ -65,7 +65,7 @@ class ToxicParams:
     mined_min: int = 5
     mined_lift: float = 20.0
     vocabulary: int = 400
-    ridge: float = 1.0
+    ridge: float = 0.2
     rounds: int = 60
     label_logit: float = 4.0
     threshold: float = 0.7
