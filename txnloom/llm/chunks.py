@@ -2,7 +2,8 @@
 
 Both tokenizers of this folder never join characters across the blank that starts a chunk, so equal
 chunks have equal ids. Distinct chunks of a batch are found in Arrow, encoded once, and their ids put
-together in Arrow. A worker keeps ids of past chunks up to a bound and then starts anew.
+together in Arrow. A worker keeps the ids of chunks in two generations of bounded size: when the younger
+is full it replaces the older, and chunks that come again move to the younger.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_SLICE_BYTES = 8 << 20
-
 
 class ChunkEncoder:
     """``lead(chunks)`` encodes words with a blank before them, ``bare(texts)`` texts as they are.
@@ -25,33 +24,23 @@ class ChunkEncoder:
     """
 
     def __init__(self, lead: Callable[[list[str]], list[bytes]], bare: Callable[[list[str]], list[bytes]],
-                 lead_first: bool, mixed: re.Pattern, most: int = 1_000_000):
+                 lead_first: bool, mixed: re.Pattern, most: int = 150_000):
         self.lead, self.bare, self.lead_first, self.mixed, self.most = lead, bare, lead_first, mixed, most
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        known.update([(c, older[c]) for c in chunks if c in older])
         new = [c for c in chunks if c not in known]
         if new:
             known.update(zip(new, self.lead(new)))
         return [known[c] for c in chunks]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of every text; NULL and empty texts have none."""
-        out: list[bytes] = []
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(sizes)
-        start = 0
-        while start < len(texts):
-            done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + _SLICE_BYTES)))
-            out += self._encode_slice(texts.slice(start, stop - start))
-            start = stop
-        return out
-
-    def _encode_slice(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text; NULL and empty texts have none. Callers pass some megabytes at a time."""
         filled = pc.fill_null(texts, "")
         plain = filled.to_pylist()
         out: list[bytes] = [b""] * len(plain)

@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 
 from ..session import ship_package
 from .chunks import ChunkEncoder
+from .common import small_batches
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -197,7 +198,7 @@ def encode_pieces(docs: DataFrame, path: str = "", keep: tuple[str, ...] = ("doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, encoder = piece_encoder(path)
         output = pa.array(pieces.output, pa.large_binary())
-        for b in batches:
+        for b in small_batches(batches, len(kept)):
             texts = b.column(len(kept))
             coded = encoder.encode(texts)
             lengths = np.array([len(x) // 4 for x in coded], np.int64)

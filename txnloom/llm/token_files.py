@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import ChunkEncoder
-from .common import map_batches, scratch_path, smallest_by_hash, stored
+from .common import map_batches, scratch_path, small_batches, smallest_by_hash, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A run of white space in which a blank stands before more white space or the end.
@@ -140,7 +140,7 @@ def write_tokens(docs: DataFrame, folder: str, p: TokenParams = TokenParams()) -
         import zstandard
         shared = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
         pack = zstandard.ZstdCompressor(level=p.level, write_checksum=False, **shared)
-        for b in batches:
+        for b in small_batches(batches, 1, 4 << 20):
             ids = _ids_of(b.column(1), path, p.end_id)
             frames = [pack.compress(x.astype(f"<u{width}").tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays([
