@@ -3,15 +3,18 @@
 Texts with equal shingle sets form classes, and one document stands for each. Every representative has
 32 signature orders (trees) of eight levels. In each order, sorted over the cluster, neighbours with the
 longest common prefix are candidates: where many texts share a prefix, neighbours agree on more levels,
-so the depth adapts to the region. Candidates pass a bit sketch and are confirmed on the full sets.
+so the depth adapts to the region. So is each text of a region with the region's hub, the text nearest to
+the majority of its sketches: copies of one text agree with it more than with each other. Candidates
+pass a bit sketch and are confirmed on the full sets.
 
-1. Neighbours in the first trees are confirmed and joined into components.
-2. Neighbours in all trees that still lie in different components follow.
+1. Neighbours and hubs in the first trees are confirmed and joined into components.
+2. Those of all trees that still lie in different components follow.
 3. A region is what shares the first three levels of a tree. Regions that still hold several components
-   are compared in full, pair by pair across components, in tiles of bounded size. Nothing is capped.
+   are compared in full, across components, in tiles of bounded size; a pair whose signatures agree too
+   little to reach the similarity goes no further. Nothing is capped.
 
 A pair of similarity 0.75 shares a region of some tree with probability 1 - (1 - 0.75**3)**32, all but
-3 in 100 million; the sketch keeps it with probability above 1 - 1e-6.
+3 in 100 million; sketch and signature keep it with probability above 1 - 1e-5.
 
 Defined cases: NULL, empty and blank texts have no shingles and no links. A text of fewer than five
 words is one shingle. NULL ids are in no group: component_id is NULL and kept is true. Rows that share an
@@ -38,13 +41,14 @@ _MULTIPLIERS = np.random.default_rng(5).integers(1, 2 ** 63, 6, dtype=np.uint64)
 
 @dataclass(frozen=True)
 class ForestParams:
-    """``sketch_least`` of 128 bits agree on pairs that are confirmed; ``first`` trees come first."""
+    """``sketch_least`` of 128 bits and ``signature_least`` of the minima agree on pairs that are confirmed."""
 
     words: int = 5
     percent: int = 75
     trees: int = 32
     first: int = 4
-    sketch_least: int = 90
+    sketch_least: int = 94
+    signature_least: float = 0.62
     tile: int = 512
 
 
@@ -133,8 +137,25 @@ def _close(n1, n2, a1, a2, b1, b2, p: ForestParams) -> np.ndarray:
     return (same >= p.sketch_least) & (100 * np.minimum(n1, n2) >= p.percent * np.maximum(n1, n2))
 
 
+def _hubs(tree, hi, rep, n, b1, b2, p: ForestParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hub, member, tree) for every region of at least four sorted rows."""
+    region = hi >> 16
+    starts = np.flatnonzero(np.append(True, (tree[1:] != tree[:-1]) | (region[1:] != region[:-1])))
+    ends = np.append(starts[1:], len(tree))
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+    for s, e in zip(starts[ends - starts > 3], ends[ends - starts > 3]):
+        words = np.stack([b1[s:e], b2[s:e]], 1)
+        bits = np.unpackbits(words.view(np.uint8), axis=1)
+        far = (bits != (2 * bits.sum(0, dtype=np.int64) >= e - s)).sum(1)
+        hub = s + np.lexsort((rep[s:e], far))[0]
+        at = np.arange(s, e)
+        ok = _close(n[at], n[hub], b1[at], b2[at], b1[hub], b2[hub], p) & (rep[at] != rep[hub])
+        found.append((np.full(ok.sum(), rep[hub]), rep[at[ok]], tree[at[ok]]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def neighbours(rows: DataFrame, p: ForestParams) -> DataFrame:
-    """Candidates (a, b, tree) next to each other in the sorted trees, in one region.
+    """Candidates (a, b, tree): next to each other in the sorted trees, or member and hub, in one region.
 
     A task also returns its first and last row, so that neighbours across two tasks are found too.
     """
@@ -154,6 +175,7 @@ def neighbours(rows: DataFrame, p: ForestParams) -> DataFrame:
             ok = (tree[1:] == tree[:-1]) & (hi[1:] >> 16 == hi[:-1] >> 16) & (rep[1:] != rep[:-1])
             ok &= _close(n[1:], n[:-1], b1[1:], b2[1:], b1[:-1], b2[:-1], p)
             yield _pairs(rep[:-1][ok], rep[1:][ok], tree[1:][ok])
+            yield _pairs(*_hubs(tree, hi, rep, n, b1, b2, p))
             if first:
                 yield _edge(part, 0, ends)
                 first = False
@@ -209,21 +231,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, p: ForestParams) -> DataFrame:
             .select("a", "b"))
 
 
-def crowded_pairs(rows: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
-    """Candidates between different components of one region, every pair looked at once, tile by tile."""
+def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
+    """Candidates between different components of one region, every pair looked at, tile by tile."""
     known = (rows.withColumn("region", F.shiftright("hi", 16)).join(label.withColumnRenamed("node", "rep"), "rep", "left")
              .withColumn("component", F.coalesce("component", "rep")).drop("hi", "lo"))
     mixed = (known.groupBy("tree", "region").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("tree", "region", F.ceil(F.col("size") / p.tile).cast("int").alias("chunks")))
-    held = known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+    held = (known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+            .join(reps.select("rep", "sig"), "rep"))
     cells = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "tree", "region", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk",
-        "rep", "n", "b1", "b2", "component")
+        "rep", "n", "b1", "b2", "component", "sig")
     keys = ["tree", "region", "c1", "c2"]
     dealt = cells.repartition(*keys).sortWithinPartitions(*keys)
 
     def tile(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        chunk, rep, n, b1, b2, comp = c[4:]
+        chunk, rep, n, b1, b2, comp, sig = c[4:]
+        sig = np.frombuffer(b"".join(sig), np.uint16).reshape(len(rep), -1)
+        least = p.signature_least * sig.shape[1]
         one = np.flatnonzero(chunk == c[2][0])
         two = one if c[2][0] == c[3][0] else np.flatnonzero(chunk == c[3][0])
         at = np.arange(0, len(one), 256)
@@ -234,8 +259,12 @@ def crowded_pairs(rows: DataFrame, label: DataFrame, p: ForestParams) -> DataFra
             ok = (comp[i] != comp[j]) & ((i < j) | (c[2][0] != c[3][0]))
             i, j = i[ok], j[ok]
             ok = _close(n[i], n[j], b1[i], b2[i], b1[j], b2[j], p)
-            a.append(rep[i[ok]])
-            b.append(rep[j[ok]])
+            i, j = i[ok], j[ok]
+            for s in range(0, len(i), 4096):
+                s = slice(s, s + 4096)
+                ok = (sig[i[s]] == sig[j[s]]).sum(1) >= least
+                a.append(rep[i[s][ok]])
+                b.append(rep[j[s][ok]])
         return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +277,7 @@ def crowded_pairs(rows: DataFrame, label: DataFrame, p: ForestParams) -> DataFra
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [np.asarray(c) for c in batch.columns]
+            cols = [np.asarray(c) if k < 10 else np.array(c.to_pylist(), object) for k, c in enumerate(batch.columns)]
             if held_over is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(held_over, cols)]
             change = np.zeros(len(cols[0]) - 1, bool)
@@ -295,7 +324,7 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
     links = stored(links.unionByName(second), "links-second")
     label = stored(components(links), "label-second")
 
-    crowd = crowded_pairs(tree_rows(reps, p), label, p)
+    crowd = crowded_pairs(tree_rows(reps, p), reps, label, p)
     rest = stored(crowd.join(found.select("a", "b").distinct(), ["a", "b"], "left_anti"), "crowded")
     more = stored(rest.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(near, "rep", "left_anti"), "near-more")
     sets = sets.unionByName(stored(full_sets(docs, more, p), "sets-more"))
