@@ -249,6 +249,8 @@ def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestP
         chunk, rep, n, b1, b2, comp, sig = c[4:]
         sig = np.frombuffer(b"".join(sig), np.uint16).reshape(len(rep), -1)
         least = p.signature_least * sig.shape[1]
+        # A pair is named in the first tree in which it shares a region, and in no other.
+        regions = sig.reshape(len(rep), p.trees, LEVELS)[:, :, :REGION_LEVELS]
         one = np.flatnonzero(chunk == c[2][0])
         two = one if c[2][0] == c[3][0] else np.flatnonzero(chunk == c[3][0])
         at = np.arange(0, len(one), 256)
@@ -263,8 +265,10 @@ def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestP
             for s in range(0, len(i), 4096):
                 s = slice(s, s + 4096)
                 ok = (sig[i[s]] == sig[j[s]]).sum(1) >= least
-                a.append(rep[i[s][ok]])
-                b.append(rep[j[s][ok]])
+                one_of, two_of = i[s][ok], j[s][ok]
+                ok = (regions[one_of] == regions[two_of]).all(2).argmax(1) == c[0][0]
+                a.append(rep[one_of[ok]])
+                b.append(rep[two_of[ok]])
         return np.concatenate(a), np.concatenate(b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
