@@ -10,7 +10,7 @@ How it is spread: texts are cut into chunks of some megabytes. A chunk lists its
 grams and words with their training counts, dealt to parts by context or word hash. A part holds whole
 subtrees, adds the counts of all chunks and answers each chunk for just its own grams. Depths 0 and 1
 are at most 256 * 255 nodes, whatever the corpus; they alone pass the driver. Chunk and answers then
-meet, and every document is scored. All documents are counted and scored; nothing is capped.
+meet, and every document is scored. Log probabilities of grams travel in single precision; sums are double. All documents are counted and scored; nothing is capped.
 
 Defined cases: NULL and empty texts are the end alone. A NULL doc_id trains and is not held out. Repeated
 rows count and are scored each. Without training texts every decision has probability 1/2. Words are
@@ -19,7 +19,6 @@ told apart by 64-bit hashes. A very long text is a chunk of its own. Extra colum
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +41,7 @@ class ContextParams:
     """``depth`` context bytes, at least 2 and at most 7; ``chunk_bytes`` of text are answered at once."""
 
     depth: int = 5
-    chunk_bytes: int = 12 << 20
+    chunk_bytes: int = 6 << 20
     parts: int = 0
 
 
@@ -56,7 +55,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
         low = y < 10
         shift += np.where(low, np.log(y), 0.0)
         y = np.where(low, y + 1, y)
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - shift
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) - shift
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -126,6 +125,29 @@ def shallow_table(nodes: np.ndarray, below: np.ndarray, zeros: np.ndarray, ones:
                      for n0, n1 in ((z0, z1), (o0, o1))] + [(1 - stay0) * (1 - stay1)], axis=-1)
 
 
+# -- packing ------------------------------------------------------------------
+
+def pack(values: np.ndarray) -> bytes:
+    """64-bit integers as compressed byte planes."""
+    import zstandard
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes, dtype=np.uint64) -> np.ndarray:
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data), dtype=np.uint64)
+
+
 # -- chunks -------------------------------------------------------------------
 
 def normal_bytes(text: str | None) -> bytes:
@@ -144,10 +166,12 @@ def gram_codes(payload: bytes, depth: int) -> tuple[np.ndarray, np.ndarray, np.n
         inside[place] = k
     keys = raw.astype(np.uint64)
     for k in range(1, depth + 1):
-        before = np.full(len(raw), END[0], np.uint64)
+        before = np.full(len(raw), END[0], np.uint8)
         before[k:] = raw[:-k]
         before[inside < k] = END[0]
-        keys |= before << np.uint64(8 * (depth + 1 - k))
+        wide = before.astype(np.uint64)
+        wide <<= np.uint64(8 * (depth + 1 - k))
+        keys |= wide
     coded = pa.array(keys).dictionary_encode()
     return coded.dictionary.to_numpy(), coded.indices.to_numpy(), ends
 
@@ -195,8 +219,9 @@ _CHUNK = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("part", pa.int
 def chunked(docs: DataFrame, p: ContextParams, parts: int) -> DataFrame:
     """Chunk rows (kind 0: ids and packed text) and what they need from the parts (1: grams, 2: words)."""
     def rows_of(chunk: int, ids: list, held: list, texts: list[bytes]) -> pa.RecordBatch:
+        import zstandard
         payload = b"".join(texts)
-        rows = [(0, chunk, -1, ids, held, zlib.compress(payload, 1), None)]
+        rows = [(0, chunk, -1, ids, held, zstandard.ZstdCompressor(level=3).compress(payload), None)]
         trains = np.array(held) == 0
         grams, place, ends = gram_codes(payload, p.depth)
         counts = np.bincount(place, np.repeat(trains, np.diff(np.append(-1, ends))), len(grams)).astype(np.int64)
@@ -213,7 +238,7 @@ def chunked(docs: DataFrame, p: ContextParams, parts: int) -> DataFrame:
             for k in range(parts):
                 sel = by[cut[k]:cut[k + 1]]
                 if len(sel):
-                    rows.append((kind, chunk, k, None, None, keys[sel].tobytes(), n[sel].tobytes()))
+                    rows.append((kind, chunk, k, None, None, pack_sorted(keys[sel]), pack(n[sel])))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHUNK)], schema=_CHUNK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +264,8 @@ def chunked(docs: DataFrame, p: ContextParams, parts: int) -> DataFrame:
 
 def _part_content(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Distinct keys of a part, their counts over all chunks, and each chunk's keys."""
-    each = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")]
-    counts = [np.frombuffer(x.as_py(), np.int64) for x in table.column("counts")]
+    each = [unpack_sorted(x.as_py()) for x in table.column("keys")]
+    counts = [unpack(x.as_py(), np.int64) for x in table.column("counts")]
     keys, at = np.unique(np.concatenate(each), return_inverse=True)
     return keys, np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64), each
 
@@ -270,15 +295,16 @@ def part_answers(needs: DataFrame, table: np.ndarray, p: ContextParams) -> DataF
     def run(rows: pa.Table) -> pa.Table:
         keys, counts, each = _part_content(rows)
         kind = rows.column("kind")[0].as_py()
-        values = counts
+        values, send = counts, pack
         if kind == 1:
+            send = np.ndarray.tobytes
             t = Subtrees(keys, counts, p.depth)
             near = (keys >> np.uint64(8 * p.depth)).astype(np.int64)[:, None]
             shallow = table[near, t.node.astype(np.int64)]
             known = np.where(t.bit == 1, shallow[..., 1], shallow[..., 0])
-            values = np.log10(known + shallow[..., 2] * t.ratios()).sum(1)
+            values = np.log10(known + shallow[..., 2] * t.ratios()).sum(1).astype(np.float32)
         return pa.Table.from_arrays([rows.column("kind"), rows.column("chunk"), rows.column("part"),
-                                     pa.array([values[np.searchsorted(keys, k)].tobytes() for k in each], pa.binary())], schema=schema)
+                                     pa.array([send(values[np.searchsorted(keys, k)]) for k in each], pa.binary())], schema=schema)
 
     return needs.groupBy("kind", "part").applyInArrow(run, "kind int, chunk bigint, part int, answers binary")
 
@@ -297,12 +323,13 @@ def chunk_scores(chunks: DataFrame, answers: DataFrame, p: ContextParams, parts:
         out = np.zeros(len(part), dtype)
         for k, at, data in zip(rows.column("kind").to_pylist(), rows.column("part").to_pylist(), rows.column("answers")):
             if k == kind:
-                out[part == at] = np.frombuffer(data.as_py(), dtype)
+                out[part == at] = np.frombuffer(data.as_py(), np.float32) if kind == 1 else unpack(data.as_py(), np.int64)
         return out
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
         ids, held = left.column("ids")[0].as_py(), left.column("held")[0].as_py()
-        payload = zlib.decompress(left.column("keys")[0].as_py())
+        payload = zstandard.ZstdDecompressor().decompress(left.column("keys")[0].as_py())
         grams, place, ends = gram_codes(payload, p.depth)
         order = np.argsort(grams)
         logs = np.empty(len(grams))
@@ -334,7 +361,7 @@ def held_out(doc_id: str = "doc_id"):
 def score_documents(docs: DataFrame, p: ContextParams = ContextParams()) -> DataFrame:
     """Scores of every document, from the model of those that are not held out."""
     spark = docs.sparkSession
-    parts = p.parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = p.parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ship_package(spark)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), "text")
     every = stored(chunked(given, p, parts), "chunks")
