@@ -131,6 +131,18 @@ def test_token_files_round_trip(spark, tmp_path):
     assert len(token_files.read_document(spark, folder, 900)) == 2 and token_files.read_document(spark, folder, 10_000) == []
 
 
+def test_added_tokens_are_those_of_the_file(spark, tmp_path):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(token_files.tokenizer_path())
+    random.seed(6)
+    parts = ["<|endoftext|>", " ", "  ", "\n", "end", "of", "<|", "é", "."]
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "a<|endoftext|>", "<|endoftext|> <|endoftext|>", "no token <|endoftext |>"]
+    texts += ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(150)]
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), str(tmp_path / "t"))
+    got = {r.doc_id: r.ids for r in token_files.read_tokens(spark, str(tmp_path / "t"), with_ids=True).collect()}
+    assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+
+
 def test_token_files_of_nothing(spark, tmp_path):
     token_files.write_tokens(no_rows(spark), str(tmp_path / "n"))
     assert token_files.read_tokens(spark, str(tmp_path / "n")).count() == 0

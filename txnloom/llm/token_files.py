@@ -11,7 +11,8 @@ A token folder holds three Parquet tables, all written by Spark's committers:
 A short document is read by opening one shard row, looking up the index and decompressing one frame.
 
 Defined cases: a NULL or empty text is the end id alone. NULL doc_ids come first. Rows that share a doc_id
-are separate documents, in the order of their checksums. Extra columns are ignored. An empty table gives
+are separate documents, in the order of their checksums. A text that spells an added token of the tokenizer
+file (``<|endoftext|>``) gets that token's id, as the file's own tokenizer gives it. Extra columns are ignored. An empty table gives
 empty tables (and a dictionary row). The dictionary is trained on at most ``sample_docs`` short
 documents; where there are too few to train on, it is empty and frames are plain.
 """
@@ -68,11 +69,15 @@ def byte_bpe_encoder(path: str) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     size = tok.get_vocab_size()
     begins = np.zeros(size, bool)
     begins[[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
 
+    # Added tokens are found in the whole text before it is cut into words, so such texts are encoded whole.
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    mixed = re.compile("|".join([_MIXED.pattern, *map(re.escape, added)]))
+    spaced = any(any(map(str.isspace, t)) for t in added)
+
     def bare(texts: list[str]) -> list[bytes]:
         got = tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
@@ -80,7 +85,8 @@ def byte_bpe_encoder(path: str) -> ChunkEncoder:
     def lead(chunks: list[str]) -> list[bytes]:
         # Chunks without white space go through in one text; each starts at a token that starts with a blank.
         out: dict[str, bytes] = {}
-        easy = [c for c in chunks if c and c.isprintable() and not any(map(str.isspace, c))] if chunks else []
+        # Joined chunks could spell an added token that holds white space.
+        easy = [] if spaced else [c for c in chunks if c and c.isprintable() and not any(map(str.isspace, c))]
         for k in range(0, len(easy), 2_000):
             part = easy[k:k + 2_000]
             ids = np.array(tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -93,7 +99,7 @@ def byte_bpe_encoder(path: str) -> ChunkEncoder:
         out.update(zip(rest, bare([" " + c for c in rest])))
         return [out[c] for c in chunks]
 
-    _ENCODERS[path] = ChunkEncoder(lead, bare, lead_first=False, mixed=_MIXED)
+    _ENCODERS[path] = ChunkEncoder(lead, bare, lead_first=False, mixed=mixed)
     return _ENCODERS[path]
 
 
