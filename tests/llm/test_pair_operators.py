@@ -200,6 +200,27 @@ def test_context_tree(spark, depth, chunk):
     assert lm_scoring.score_documents(df.limit(0)).count() == 0
 
 
+def test_no_group_holds_all_lists_of_a_context(spark, monkeypatch):
+    # One context before every word, and a chunk for each text.
+    rows = [(i, ". a" + chr(97 + i % 26) + ". b" * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, kept = [], lm_scoring.part_answers
+
+    def watch(needs, models, buckets):
+        seen.append((buckets, max(r["count"] for r in needs.groupBy("kind", "part", "bucket").count().collect())))
+        return kept(needs, models, buckets)
+    monkeypatch.setattr(lm_scoring, "part_answers", watch)
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 3)
+    got = lm_scoring.score_documents(df, lm_scoring.ContextParams(4, 1, 5, bucket_chunks=4)).collect()
+    assert seen[0][0] == 15 and seen[0][1] < 20
+    train = [lm_scoring.normal_bytes(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    want = brute_tree(train, [lm_scoring.normal_bytes(t) for _, t in rows], 4)
+    assert np.allclose([r.score for r in sorted(got, key=lambda r: r.doc_id)], want, rtol=1e-6, atol=1e-5)
+    # Contexts that share their two nearest bytes are dealt to different parts.
+    grams = np.array([(ord(" ") << 32) | (ord(".") << 24) | (c << 16) for c in range(97, 123)], np.uint64)
+    assert len(np.unique(lm_scoring.gram_parts(grams, 4, 50))) > 10
+
+
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 2, 9.99, 10, 1e3, 1e9])
     assert np.allclose(lm_scoring.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-12)

@@ -7,10 +7,13 @@ weights of the context tree: a node's weighted probability is half its own estim
 of its children's. A byte's probability is the product over its decisions; its cost is the code length.
 
 How it is spread: texts are cut into chunks of some megabytes. A chunk lists its distinct (context, byte)
-grams and words with their training counts, dealt to parts by context or word hash. A part holds whole
-subtrees, adds the counts of all chunks and answers each chunk for just its own grams. Depths 0 and 1
-are at most 256 * 255 nodes, whatever the corpus; they alone pass the driver. Chunk and answers then
-meet, and every document is scored. Log probabilities of grams travel in single precision; sums are double. All documents are counted and scored; nothing is capped.
+grams and words with their training counts, dealt to parts by the three nearest context bytes or the word
+hash. Lists of a part are added in groups of at most ``bucket_chunks`` chunks, then their sums in further
+groups, until a part has one list of distinct keys. A part holds whole subtrees from depth 3 down; depth 2
+is added up over the parts by an aggregate and joined back. Depths 0 and 1 are at most 256 * 255 nodes,
+whatever the corpus; they alone pass the driver. Each bucket of chunks then meets the finished part and
+gets answers for just its own grams: no task ever holds all chunks' lists of one context. Chunk and answers
+meet at last, and every document is scored. Log probabilities of grams travel in single precision; sums are double. All documents are counted and scored; nothing is capped.
 
 Defined cases: NULL and empty texts are the end alone. A NULL doc_id trains and is not held out. Repeated
 rows count and are scored each. Without training texts every decision has probability 1/2. Words are
@@ -33,16 +36,20 @@ from ..session import ship_package
 from .common import id_hash, map_batches, small_batches, stored, words_of
 
 END = b"\n"
-SHALLOW = 2  # depths below this are mixed on the driver
+DEALT = 3  # context bytes by which grams are dealt to parts
+FAN_IN = 64  # lists of sums that are added at once
 
 
 @dataclass(frozen=True)
 class ContextParams:
-    """``depth`` context bytes, at least 2 and at most 7; ``chunk_bytes`` of text are answered at once."""
+    """``depth`` context bytes, at least 2 and at most 7; ``chunk_bytes`` of text are answered at once,
+
+    and a task holds a part's lists of about ``bucket_chunks`` chunks."""
 
     depth: int = 5
     chunk_bytes: int = 6 << 20
     parts: int = 0
+    bucket_chunks: int = 512
 
 
 # -- numbers ------------------------------------------------------------------
@@ -75,8 +82,13 @@ def decisions(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.uint64(1) << level) | (s >> (np.uint64(8) - level)), (s >> (np.uint64(7) - level)) & np.uint64(1)
 
 
+def above(ids: np.ndarray) -> np.ndarray:
+    """Ids of the nodes without their farthest context byte; an id is context bytes, then the decision."""
+    return ((ids >> np.uint64(16)) << np.uint64(8)) | (ids & np.uint64(255))
+
+
 class Subtrees:
-    """Depths ``SHALLOW`` to ``depth`` of the trees over sorted distinct grams (contexts first, nearest byte highest)."""
+    """Depths ``DEALT`` (or ``depth``, if less) to ``depth`` of the trees over sorted distinct grams (contexts first, nearest byte highest)."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int):
         node, self.bit = decisions(grams & np.uint64(255))
@@ -89,17 +101,18 @@ class Subtrees:
         zeros = np.bincount(at, weight * ~bits, len(own))
         log_pw = log_kt(zeros, ones)
         self.levels = [(at.reshape(ids.shape), zeros, ones, None)]
-        for d in range(depth - 1, SHALLOW - 1, -1):
-            above = ((own >> np.uint64(16)) << np.uint64(8)) | (own & np.uint64(255))
-            own, up = np.unique(above, return_inverse=True)
+        for d in range(depth - 1, DEALT - 1, -1):
+            own, up = np.unique(above(own), return_inverse=True)
             zeros, ones, below = (np.bincount(up, v, len(own)) for v in (zeros, ones, log_pw))
             log_pw = weighted(zeros, ones, below)
             stay = np.exp(log_kt(zeros, ones) - np.log(2) - log_pw)
             self.levels.append((up[self.levels[-1][0]], zeros, ones, stay))
         self.top, self.zeros, self.ones, self.log_pw = own, zeros, ones, log_pw
+        # The depth 2 node of every top node.
+        self.second, self.up = np.unique(above(own) if depth > 2 else own, return_inverse=True)
 
     def ratios(self) -> np.ndarray:
-        """Mixed probability of every gram's decisions from depth ``SHALLOW`` down."""
+        """Mixed probability of every gram's decisions from the top of the subtrees down."""
         mixed = None
         for at, zeros, ones, stay in self.levels:
             z, o = zeros[at], ones[at]
@@ -198,8 +211,8 @@ def _end_hash() -> int:
 
 
 def gram_parts(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:
-    """Part of each gram, by its two nearest context bytes."""
-    near = grams >> np.uint64(8 * (depth - 1))
+    """Part of each gram, by its ``DEALT`` nearest context bytes."""
+    near = grams >> np.uint64(8 * (depth + 1 - min(DEALT, depth)))
     return ((near * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
 
 
@@ -262,51 +275,110 @@ def chunked(docs: DataFrame, p: ContextParams, parts: int) -> DataFrame:
 
 # -- parts --------------------------------------------------------------------
 
-def _part_content(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys of a part, their counts over all chunks, and each chunk's keys."""
-    each = [unpack_sorted(x.as_py()) for x in table.column("keys")]
-    counts = [unpack(x.as_py(), np.int64) for x in table.column("counts")]
-    keys, at = np.unique(np.concatenate(each), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64), each
+def add_lists(needs: DataFrame, buckets: int) -> DataFrame:
+    """One list of distinct keys with their counts over all chunks for each kind and part.
 
-
-def part_summaries(needs: DataFrame, p: ContextParams) -> DataFrame:
-    """(node, below, zeros, ones): parts of depth 1 nodes; node -1 has the distinct and all training tokens."""
-    schema = pa.schema([("node", pa.int64()), ("below", pa.float64()), ("zeros", pa.int64()), ("ones", pa.int64())])
+    ``needs`` has a ``bucket`` below ``buckets``; buckets are added up as a tree.
+    """
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        keys, counts, _ = _part_content(table)
-        if table.column("kind")[0].as_py() == 2:
-            return pa.Table.from_pydict({"node": [-1], "below": [float((counts > 0).sum())], "zeros": [int(counts.sum())], "ones": [0]}, schema)
-        t = Subtrees(keys, counts, p.depth)
-        # top ids are nearest byte, next byte, decision
-        node = ((t.top >> np.uint64(16)) << np.uint64(8)) | (t.top & np.uint64(255))
-        own, at = np.unique(node, return_inverse=True)
-        below, zeros, ones = (np.bincount(at, v, len(own)) for v in (t.log_pw, t.zeros, t.ones))
-        return pa.Table.from_pydict({"node": own.astype(np.int64), "below": below, "zeros": zeros.astype(np.int64), "ones": ones.astype(np.int64)}, schema)
+        keys, at = np.unique(np.concatenate([unpack_sorted(x.as_py()) for x in table.column("keys")]), return_inverse=True)
+        counts = np.concatenate([unpack(x.as_py(), np.int64) for x in table.column("counts")])
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, counts)
+        first = [table.column(c)[0].as_py() for c in ("kind", "part", "bucket")]
+        return pa.Table.from_pydict(dict(zip(schema.names, ([v] for v in (*first, pack_sorted(keys), pack(total))))), schema)
+
+    lists = needs.select("kind", "part", "bucket", "keys", "counts")
+    while True:
+        lists = lists.groupBy("kind", "part", "bucket").applyInArrow(run, "kind int, part int, bucket bigint, keys binary, counts binary")
+        if buckets == 1:
+            return lists.drop("bucket")
+        buckets = -(-buckets // FAN_IN)
+        lists = lists.withColumn("bucket", F.pmod("bucket", F.lit(buckets)))
+
+
+def part_summaries(totals: DataFrame, p: ContextParams) -> DataFrame:
+    """(part, node, below, zeros, ones): shares of depth 2 nodes; node -1 has the distinct and all training tokens."""
+    schema = pa.schema([("part", pa.int32()), ("node", pa.int64()), ("below", pa.float64()), ("zeros", pa.int64()), ("ones", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for kind, part, keys, counts in zip(*(b.column(k) for k in range(4))):
+                part, keys, counts = part.as_py(), unpack_sorted(keys.as_py()), unpack(counts.as_py(), np.int64)
+                if kind.as_py() == 2:
+                    found = [-1], [float((counts > 0).sum())], [int(counts.sum())], [0]
+                else:
+                    t = Subtrees(keys, counts, p.depth)
+                    below, zeros, ones = (np.bincount(t.up, v, len(t.second)) for v in (t.log_pw, t.zeros, t.ones))
+                    found = t.second.astype(np.int64), below, zeros.astype(np.int64), ones.astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((np.full(len(found[0]), part), *found), schema)], schema=schema)
 
-    return needs.groupBy("kind", "part").applyInArrow(run, "node bigint, below double, zeros bigint, ones bigint")
+    return map_batches(totals.select("kind", "part", "keys", "counts"), run, "part int, node bigint, below double, zeros bigint, ones bigint")
 
 
-def part_answers(needs: DataFrame, table: np.ndarray, p: ContextParams) -> DataFrame:
-    """For each chunk and part: log10 probabilities of the chunk's grams, or counts of its words, in key order."""
-    schema = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("part", pa.int32()), ("answers", pa.binary())])
+def second_nodes(summaries: DataFrame, p: ContextParams) -> DataFrame:
+    """(node, zeros, ones, log_pw, stay): depth 2 nodes over all parts."""
+    added = summaries.where("node >= 0").groupBy("node").agg(*[F.sum(c).alias(c) for c in ("below", "zeros", "ones")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            below, zeros, ones = (b.column(k).to_numpy().astype(float) for k in (1, 2, 3))
+            log_pw = weighted(zeros, ones, below) if p.depth > 2 else below
+            stay = np.exp(log_kt(zeros, ones) - np.log(2) - log_pw)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(log_pw), pa.array(stay)],
+                                             names=["node", "zeros", "ones", "log_pw", "stay"])
 
-    def run(rows: pa.Table) -> pa.Table:
-        keys, counts, each = _part_content(rows)
-        kind = rows.column("kind")[0].as_py()
-        values, send = counts, pack
+    return map_batches(added, run, "node bigint, zeros bigint, ones bigint, log_pw double, stay double")
+
+
+def part_models(totals: DataFrame, seconds: DataFrame, table: np.ndarray, p: ContextParams) -> DataFrame:
+    """For each kind and part its keys with log10 probabilities of grams, or counts of words.
+
+    ``seconds`` has for each part the depth 2 nodes above it.
+    """
+    schema = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("answers", pa.binary())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        kind, packed, counts = (left.column(c)[0].as_py() for c in ("kind", "keys", "counts"))
         if kind == 1:
-            send = np.ndarray.tobytes
-            t = Subtrees(keys, counts, p.depth)
+            keys = unpack_sorted(packed)
+            t = Subtrees(keys, unpack(counts, np.int64), p.depth)
+            mixed = t.ratios()
+            if p.depth > 2:
+                order = np.argsort(right.column("node").to_numpy())
+                zeros, ones, stay = (right.column(c).to_numpy()[order] for c in ("zeros", "ones", "stay"))
+                at = t.up[t.levels[-1][0]]
+                z, o, stay = zeros[at], ones[at], stay[at]
+                mixed = stay * (np.where(t.bit == 1, o, z) + 0.5) / (z + o + 1.0) + (1 - stay) * mixed
             near = (keys >> np.uint64(8 * p.depth)).astype(np.int64)[:, None]
             shallow = table[near, t.node.astype(np.int64)]
             known = np.where(t.bit == 1, shallow[..., 1], shallow[..., 0])
-            values = np.log10(known + shallow[..., 2] * t.ratios()).sum(1).astype(np.float32)
-        return pa.Table.from_arrays([rows.column("kind"), rows.column("chunk"), rows.column("part"),
-                                     pa.array([send(values[np.searchsorted(keys, k)]) for k in each], pa.binary())], schema=schema)
+            counts = np.log10(known + shallow[..., 2] * mixed).sum(1).astype(np.float32).tobytes()
+        return pa.Table.from_pydict({"kind": [kind], "part": [left.column("part")[0].as_py()], "keys": [packed], "answers": [counts]}, schema)
+
+    return (totals.groupBy("kind", "part").cogroup(seconds.groupBy("kind", "part"))
+            .applyInArrow(run, "kind int, part int, keys binary, answers binary"))
+
+
+def part_answers(needs: DataFrame, models: DataFrame, buckets: int) -> DataFrame:
+    """For each chunk and part: log10 probabilities of the chunk's grams, or counts of its words, in key order."""
+    schema = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("part", pa.int32()), ("answers", pa.binary())])
+
+    def run(rows: pa.Table, model: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return schema.empty_table()
+        kind, keys, values = model.column("kind")[0].as_py(), unpack_sorted(model.column("keys")[0].as_py()), model.column("answers")[0].as_py()
+        values, send = (np.frombuffer(values, np.float32), np.ndarray.tobytes) if kind == 1 else (unpack(values, np.int64), pack)
+        answers = [send(values[np.searchsorted(keys, unpack_sorted(k.as_py()))]) for k in rows.column("keys")]
+        return pa.Table.from_arrays([rows.column("kind"), rows.column("chunk"), rows.column("part"), pa.array(answers, pa.binary())], schema=schema)
 
-    return needs.groupBy("kind", "part").applyInArrow(run, "kind int, chunk bigint, part int, answers binary")
+    # A part's model goes to every bucket that may ask it.
+    every = models.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    by = ("kind", "part", "bucket")
+    return (needs.select(*by, "chunk", "keys").groupBy(*by).cogroup(every.groupBy(*by))
+            .applyInArrow(run, "kind int, chunk bigint, part int, answers binary"))
 
 
 # -- scores -------------------------------------------------------------------
@@ -365,11 +437,16 @@ def score_documents(docs: DataFrame, p: ContextParams = ContextParams()) -> Data
     ship_package(spark)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), "text")
     every = stored(chunked(given, p, parts), "chunks")
-    needs = every.where("kind > 0").select("kind", "chunk", "part", "keys", "counts")
-    top = (part_summaries(needs, p).groupBy("node").agg(F.sum("below").alias("below"), F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-           .orderBy("node").toPandas())
-    words, nodes = top[top.node < 0], top[top.node >= 0]
-    table = shallow_table(nodes.node.to_numpy(np.int64), nodes.below.to_numpy(float), nodes.zeros.to_numpy(float), nodes.ones.to_numpy(float))
-    total, distinct = int(words.zeros.sum()), int(words.below.sum())
-    answers = part_answers(needs, table, p)
+    buckets = max(1, -(-every.where("kind = 0").count() // p.bucket_chunks))
+    needs = every.where("kind > 0").select("kind", "part", F.pmod(F.xxhash64("chunk"), F.lit(buckets)).alias("bucket"), "chunk", "keys", "counts")
+    totals = stored(add_lists(needs, buckets), "totals")
+    summaries = stored(part_summaries(totals, p), "summaries")
+    seconds = stored(second_nodes(summaries, p), "seconds")
+    words = summaries.where("node < 0").agg(F.sum("zeros"), F.sum("below")).first()
+    first = F.shiftleft(F.shiftright("node", 16), 8).bitwiseOR(F.col("node").bitwiseAND(255))
+    nodes = seconds.groupBy(first.alias("node")).agg(*[F.sum(c).alias(c) for c in ("log_pw", "zeros", "ones")]).orderBy("node").toPandas()
+    table = shallow_table(nodes.node.to_numpy(np.int64), nodes.log_pw.to_numpy(float), nodes.zeros.to_numpy(float), nodes.ones.to_numpy(float))
+    total, distinct = int(words[0] or 0), int(words[1] or 0)
+    back = summaries.select(F.lit(1).alias("kind"), "part", "node").join(seconds.select("node", "zeros", "ones", "stay"), "node")
+    answers = part_answers(needs, part_models(totals, back, table, p), buckets)
     return chunk_scores(every.where("kind = 0").select("chunk", "ids", "held", "keys"), answers, p, parts, total, distinct)
