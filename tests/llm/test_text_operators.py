@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from txnloom.llm import cotraining, pii, quality_rules, sentencepieces, token_files, toxicity
 from txnloom.llm.common import stored
@@ -275,6 +276,36 @@ def test_cotraining_on_rows_without_labels(spark):
     assert len(got) > 50 and np.mean([r.kept == (r.quality == 1) for r in got]) > 0.93
 
 
+def test_all_unlabelled_rows_take_part_in_cotraining(spark):
+    # Texts tell the labelled rows apart; a source that labels never saw is learnt from unlabelled rows alone.
+    n, rng = 26_000, random.Random(8)
+    # The rare source has the rows that a sample of the smallest hashes would reach last.
+    last = {r.id for r in spark.range(400, n).orderBy(F.xxhash64(F.lit("sample"), F.col("id").cast("string")).desc()).limit(40).collect()}
+    docs, labels = [], []
+    for i in range(n):
+        is_good = i % 2 == 0
+        source = "seen" if i < 400 else "rare" if i in last else "common"
+        words = rng.choices("the of and to in that it is was for".split(), k=30) if is_good or source == "common" else ["BUY!!!", "$$$"] * 15
+        docs.append((i, " ".join(words), source if source != "rare" else ("rare-good" if is_good else "rare-bad")))
+        if i < 400:
+            labels.append((i, int(is_good)))
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    p = cotraining.CoParams(exchanged=13_000, rounds=1)
+    model = cotraining.co_train(df, spark.createDataFrame(labels, "doc_id long, quality int"), p)
+    slots = {s: cotraining.page_slots(s, None, None, None, p) for s in ("rare-good", "rare-bad")}
+    used = [model.page.weights[x].sum() for x in slots.values()]
+    assert used[0] > used[1] + 0.5
+    # Every unlabelled row of the rare source is scored, and the surest come first whatever the partitions.
+    again = cotraining.co_train(df.repartition(7), spark.createDataFrame(labels, "doc_id long, quality int"), p)
+    assert np.allclose(model.page.weights, again.page.weights, atol=1e-9)
+
+
+def test_bins_come_from_all_values():
+    x = np.sort(cotraining.coarse(np.random.default_rng(2).random(5_000)))
+    cuts = cotraining.cuts_of(*np.unique(x, return_counts=True), 10)
+    assert np.allclose(cuts, np.linspace(0.1, 0.9, 9), atol=0.02)
+
+
 def test_cotraining_of_odd_rows(spark):
     df = rows_of(spark)
     none = spark.createDataFrame([], "doc_id long, quality int")
