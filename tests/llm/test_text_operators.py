@@ -144,6 +144,17 @@ def test_added_tokens_are_those_of_the_file(spark, tmp_path):
     assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
 
 
+def test_dictionary_is_trained_on_whole_short_documents(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    text = lambda k: " ".join(rng.choices(words, k=k))
+    short, long = [(i, text(400)) for i in range(60)], [(i, text(9_000)) for i in range(60, 100)]
+    train = lambda rows: token_files.train_dictionary(
+        spark.createDataFrame(rows, "doc_id long, text string"), token_files.TokenParams(), token_files.tokenizer_path(), 2)
+    assert train(short + long) == train(short) != b""
+    assert train(long) == b""
+
+
 def test_token_files_of_nothing(spark, tmp_path):
     token_files.write_tokens(no_rows(spark), str(tmp_path / "n"))
     assert token_files.read_tokens(spark, str(tmp_path / "n")).count() == 0

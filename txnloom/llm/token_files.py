@@ -14,7 +14,7 @@ Defined cases: a NULL or empty text is the end id alone. NULL doc_ids come first
 are separate documents, in the order of their checksums. A text that spells an added token of the tokenizer
 file (``<|endoftext|>``) gets that token's id, as the file's own tokenizer gives it. Extra columns are ignored. An empty table gives
 empty tables (and a dictionary row). The dictionary is trained on at most ``sample_docs`` short
-documents; where there are too few to train on, it is empty and frames are plain.
+documents (at most ``sample_ids`` bytes each), taken whole; where there are too few to train on, it is empty and frames are plain.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("start", "<i8"), ("n", "
 
 @dataclass(frozen=True)
 class TokenParams:
-    """``sample_docs`` and ``sample_ids`` bound what the dictionary is trained on."""
+    """The dictionary is trained on at most ``sample_docs`` documents of at most ``sample_ids`` bytes."""
 
     tokenizer: str = ""
     end_id: int = 2
@@ -114,14 +114,15 @@ def _ids_of(texts: pa.Array, path: str, end_id: int) -> list[np.ndarray]:
 
 
 def train_dictionary(docs: DataFrame, p: TokenParams, path: str, width: int) -> bytes:
-    """A dictionary for serialized id arrays, from a bounded sample of documents."""
+    """A dictionary for serialized id arrays, from the whole arrays of a bounded sample of short documents."""
     import zstandard
-    sample = smallest_by_hash(docs.where("doc_id IS NOT NULL").select("doc_id", F.substring("text", 1, 6 * p.sample_ids).alias("text")),
-                              "doc_id", p.sample_docs).repartition(8, "doc_id")
+    # Byte-level ids are at most as many as bytes, so short documents have whole arrays of a bounded length.
+    short = docs.where("doc_id IS NOT NULL").where(F.octet_length("text") <= p.sample_ids)
+    sample = smallest_by_hash(short.select("doc_id", "text"), "doc_id", p.sample_docs).repartition(8, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [x[:p.sample_ids].astype(f"<u{width}").tobytes() for x in _ids_of(b.column(1), path, p.end_id)]
+            got = [x.astype(f"<u{width}").tobytes() for x in _ids_of(b.column(1), path, p.end_id)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["doc_id", "ids"])
 
     rows = map_batches(sample, run, "doc_id bigint, ids binary").orderBy("doc_id", "ids").collect()
