@@ -1,4 +1,4 @@
-"""The queries of the ten operators, with SQL for those that SQL can express."""
+"""The queries of the thirteen operators, with SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -116,3 +116,25 @@ def _(spark, d):
     from .cotraining import co_train, quality_scores
     docs = table(spark, d, "documents")
     return quality_scores(docs, co_train(docs, table(spark, d, "labels")))
+
+
+@_register("op13_collocations", """
+WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM documents),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, m, CAST(count(*) AS HUGEINT) AS f
+  FROM s, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, m, f, string_split(phrase, ' ') AS v, unnest(range(1, m)) AS k FROM g WHERE m > 1),
+p AS (SELECT c.lang, c.phrase, c.m, c.f AS a, c.k, x.f AS l, y.f AS r, t.n, (1000 * c.f * t.n) // (x.f * y.f) AS score FROM c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(v, 1, k), ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(v, k + 1, c.m), ' ') JOIN t ON t.lang = c.lang),
+b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+d AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.lang = b.lang AND g.m > b.m AND 100 * g.f >= 100 * b.a
+  AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM d QUALIFY rank <= 2000""")
+def _(spark, d):
+    from .phrases import collocations
+    return collocations(table(spark, d, "documents"))
