@@ -138,3 +138,9 @@ FROM d QUALIFY rank <= 2000""")
 def _(spark, d):
     from .phrases import collocations
     return collocations(table(spark, d, "documents"))
+
+
+@_register("op11_license_scan")
+def _(spark, d):
+    from .license_scan import license_report
+    return license_report(table(spark, d, "documents")).drop("spans")
