@@ -47,7 +47,7 @@ class PhraseParams:
     least: int = 100
     longest: int = 5
     top: int = 2_000
-    shard_words: int = 1 << 20
+    shard_words: int = 1 << 18
     filter_bits: int = 1 << 28
 
 
