@@ -1,13 +1,15 @@
 """Licence scans, phrases and conversations against brute force, with the odd cases each docstring defines."""
 
 import collections
+import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from txnloom.llm import license_scan, phrases
+from txnloom.llm import conversations, license_scan, phrases
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " \n\t ", "a", "a a a a a", "x" * 20_000, "é ü 日本 \U0001f600", "one\n\none\none two", "\n\n \n", "a  b   c \n  d "]
@@ -177,3 +179,127 @@ def test_filter_holds_every_phrase(spark):
     hashes = np.array([[phrases._word_hash(w.encode()) for w in x.split()] for _, x in rows], np.uint64)
     assert len(filled) * 8 == 1 << 17 and phrases._has(filled, hashes, "en").all()
     assert phrases._has(filled, hashes[:, ::-1], "en").mean() < 0.1
+
+
+# -- conversations ------------------------------------------------------------
+
+def plain_edits(faults):
+    """(cost, edits) of the cheapest, then least, edit string for (fault, initial) rows, by relaxation over whole strings."""
+    follow = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    best = {"": (0, ""), "a": (0, "")}
+    for row in [None, *reversed(faults)]:
+        new = {} if row else best
+        for state in follow:
+            made = "a" if state == "u" else "u"
+            options = [new[state]] if state in new else []
+            if row:
+                fault, initial = row
+                extra = 3 if fault == "truncated" else 0
+                if state in best:
+                    options.append((best[state][0] + 4, "D" + best[state][1]))
+                if fault not in ("blank", "duplicate"):
+                    if follow[state].get(initial) in best:
+                        options.append((best[follow[state][initial]][0] + extra, "K" + best[follow[state][initial]][1]))
+                    if made in best:
+                        options.append((best[made][0] + 3 + extra, "R" + best[made][1]))
+            if options:
+                new[state] = min(options)
+        for _ in range(4):
+            for state in follow:
+                made = "a" if state == "u" else "u"
+                if made in new:
+                    new[state] = min(new.get(state, (10**9, "")), (new[made][0] + 3, "I" + new[made][1]))
+        best = new
+    return best[""]
+
+
+def plain_repair(rows):
+    """The contract for rows (conv_id, turn, role, text), step by step."""
+    by_conv = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        by_conv[conv] += [(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = []
+    for conv, found in by_conv.items():
+        found.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        faults, seen = [], set()
+        for _, role, text in found:
+            said = re.findall("[^\x20\x09-\x0D]", text)
+            faults.append(("blank" if not said else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else "", role[:1]))
+            seen.add((role, text))
+        turns = [t for t, _, _ in found if t is not None]
+        cost, audit = plain_edits(faults)
+        state, at, lines = "", 0, []
+        for letter in audit:
+            role = "assistant" if state == "u" else "user"
+            if letter != "I":
+                at += 1
+            if letter == "K":
+                role = found[at - 1][1]
+            if letter != "D":
+                lines.append(f"{role}:{found[at - 1][2] if letter != 'I' else ''}")
+                state = role[0]
+        kinds = collections.Counter(f for f, _ in faults)
+        illegal = sum(a + b not in ("su", "ua", "au") for (_, a), (_, b) in zip(faults, faults[1:]))
+        out.append((conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, kinds["blank"], kinds["duplicate"],
+                    kinds["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def conversation_rows(rng, n=120):
+    rows = []
+    for conv in [None, *range(n)]:
+        for turn in [None] * (rng.random() < 0.2) + sorted(rng.sample(range(12), rng.randint(0, 9))):
+            rows += [(conv, turn, rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None]),
+                      rng.choice(["Yes.", "no", "Fine!", " ", "", None, "é日?", "Why? \n", "x"]))] * (1 + (rng.random() < 0.1))
+    return rows
+
+
+def test_auction_finds_the_least_cheapest_edits():
+    rng = random.Random(3)
+    p = conversations.RepairParams()
+    names = {"": conversations.FINE, "blank": conversations.BLANK, "duplicate": conversations.DUPLICATE, "truncated": conversations.CUT}
+    for _ in range(3000):
+        faults = [(rng.choice(["", "", "", "blank", "duplicate", "truncated"]), rng.choice("uuaasx") or "") for _ in range(rng.randint(0, 9))]
+        layers = [conversations.row_layer(names[f], c, p) for f, c in faults] + [conversations.end_layer(p)]
+        price = conversations.auction(layers, conversations.END)
+        assert (price[0][0], conversations.trace(layers, price, 0)[0]) == plain_edits(faults)
+
+
+def test_repair_against_plain_steps_whole_and_in_blocks(spark):
+    rows = conversation_rows(random.Random(7))
+    rows += [(999, t, "user" if t % 3 else "assistant", f"turn {t % 40}.") for t in range(300)] + [(1000, 5, "user", "same.")] * 40
+    ddl = "conv_id long, turn long, role string, text string, audit string"
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], ddl).repartition(3)
+    want = plain_repair(rows)
+    for kw in ({}, {"block_rows": 1}, {"block_rows": 3}, {"block_bytes": 20}):
+        got = conversations.repair_conversations(conversations.damaged(docs), conversations.RepairParams(**kw))
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert conversations.repair_conversations(conversations.damaged(spark.createDataFrame([], ddl))).count() == 0
+
+
+def test_repaired_turns_hash_to_the_result(spark):
+    rows = conversation_rows(random.Random(9), 30)
+    docs = conversations.damaged(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    want = {r[0]: r[-1] for r in plain_repair(rows)}
+    for kw in ({}, {"block_rows": 2}):
+        turns = collections.defaultdict(list)
+        for r in conversations.repaired_turns(docs, conversations.RepairParams(**kw)).collect():
+            turns[r.conv_id].append((r.part, r.at, f"{r.role}:{r.text}"))
+        assert {c: hashlib.sha256("\n".join(x for *_, x in sorted(turns[c])).encode()).hexdigest() for c in want} == want
+
+
+def test_conversation_query(spark):
+    from txnloom.llm.queries import QUERIES
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert sorted(map(tuple, QUERIES["op12_conversation_repair"](spark, SF).collect()), key=str) == plain_repair(rows)
+
+
+def test_price_work_is_linear():
+    p = conversations.RepairParams()
+    layers = [conversations.row_layer(i % 4, "uas"[i % 3], p) for i in range(20_000)]
+    price = conversations.auction([*layers, conversations.end_layer(p)], conversations.END)
+    assert price[0][0] > 0 and len(conversations.trace([*layers, conversations.end_layer(p)], price, 0)[0]) >= 20_000

@@ -144,3 +144,9 @@ def _(spark, d):
 def _(spark, d):
     from .license_scan import license_report
     return license_report(table(spark, d, "documents")).drop("spans")
+
+
+@_register("op12_conversation_repair")
+def _(spark, d):
+    from .conversations import damaged, repair_conversations
+    return repair_conversations(damaged(table(spark, d, "conversations")))
