@@ -109,7 +109,11 @@ def _context_order(ids: np.ndarray, depth: int) -> np.ndarray:
 
 def transform(ids: np.ndarray, depth: int) -> np.ndarray:
     """The id before each place, places in context order; the first place follows a separator."""
-    return np.concatenate(([0], ids[:-1]))[_context_order(ids, depth)].astype(np.int32)
+    return np.concatenate(([0], ids[:-1]))[_context_order(ids, depth)].astype(_width(int(ids.max(initial=0))))
+
+
+def _width(n_words: int) -> str:
+    return "<u2" if n_words < 1 << 16 else "<u4"
 
 
 @dataclass
@@ -265,10 +269,10 @@ def phrase_counts(shards: DataFrame, length: int, filters: list[np.ndarray], p:
                 lang, words = batch.column(0)[i].as_py(), batch.column(1)[i].values
                 names = words.to_pylist()
                 hashes = np.array([0, *(_word_hash(w.encode("utf-8", "surrogatepass")) for w in names)], np.uint64)
-                before, after = (np.frombuffer(batch.column(k)[i].as_buffer(), np.int32) for k in (2, 3))
+                before, after = (np.frombuffer(batch.column(k)[i].as_buffer(), _width(len(names))) for k in (2, 3))
                 grams = _grown(ShardIndex(before, after, len(names)), hashes, lang, held.value, length)
-                for start in range(0, len(grams.count), 200_000):
-                    part = grams.where(slice(start, start + 200_000))
+                for start in range(0, len(grams.count), 50_000):
+                    part = grams.where(slice(start, start + 50_000))
                     texts = [words.take(pa.array(part.ids[:, k] - 1)) for k in range(length)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(part.count), pa.string()),
