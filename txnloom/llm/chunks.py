@@ -2,19 +2,23 @@
 
 Both tokenizers of this folder never join characters across the blank that starts a chunk, so equal
 chunks have equal ids. Distinct chunks of a batch are found in Arrow, encoded once, and their ids put
-together in Arrow. A worker keeps the ids of chunks in two generations of bounded size: when the younger
-is full it replaces the older, and chunks that come again move to the younger.
+together in Arrow. A task keeps the ids of chunks in two generations of bounded bytes: when the younger is
+full it replaces the older, and chunks that come again move to the younger. Long chunks are not kept, and
+``forget`` empties both at the end of a task, as the worker process lives on.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Chunks of more characters are encoded anew each time.
+_LONGEST = 64
+
 
 class ChunkEncoder:
     """``lead(chunks)`` encodes words with a blank before them, ``bare(texts)`` texts as they are.
@@ -24,20 +28,32 @@ class ChunkEncoder:
     """
 
     def __init__(self, lead: Callable[[list[str]], list[bytes]], bare: Callable[[list[str]], list[bytes]],
-                 lead_first: bool, mixed: re.Pattern, most: int = 150_000):
-        self.lead, self.bare, self.lead_first, self.mixed, self.most = lead, bare, lead_first, mixed, most
+                 lead_first: bool, mixed: re.Pattern, most_bytes: int = 32 << 20):
+        self.lead, self.bare, self.lead_first, self.mixed, self.most_bytes = lead, bare, lead_first, mixed, most_bytes
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def _keep(self, found: Iterable[tuple[str, bytes]]) -> None:
+        kept = [(c, ids) for c, ids in found if len(c) <= _LONGEST]
+        self.known.update(kept)
+        # A key, a value and the dictionary's own entry.
+        self.bytes += sum(len(c) + len(ids) + 180 for c, ids in kept)
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known, self.older = {}, self.known
+        if self.bytes > self.most_bytes:
+            self.known, self.older, self.bytes = {}, self.known, 0
         known, older = self.known, self.older
-        known.update([(c, older[c]) for c in chunks if c in older])
+        self._keep([(c, older[c]) for c in chunks if c in older and c not in known])
         new = [c for c in chunks if c not in known]
-        if new:
-            known.update(zip(new, self.lead(new)))
-        return [known[c] for c in chunks]
+        if not new:
+            return [known[c] for c in chunks]
+        made = dict(zip(new, self.lead(new)))
+        self._keep(made.items())
+        return [made[c] if c in made else known[c] for c in chunks]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text; NULL and empty texts have none. Callers pass some megabytes at a time."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql.types import StructType
 from ..session import checkpointed, scratch_path, ship_package
 
 __all__ = ["checkpointed", "scratch_path", "table", "id_hash", "with_columns_of", "map_batches",
-           "small_batches",            "smallest_by_hash", "stored", "words_of"]
+           "releasing", "small_batches", "smallest_by_hash", "stored", "words_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +54,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              done: Callable[[], None] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` that gives memory back when a task ends, as Spark keeps its Python workers for later tasks."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if done:
+                done()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # in the C library of Linux
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                ddl: str) -> DataFrame:
+                ddl: str, done: Callable[[], None] | None = None) -> DataFrame:
     """``mapInArrow`` with this package on the workers."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, ddl)
+    return df.mapInArrow(releasing(run, done), ddl)
 
 
 def with_columns_of(df: DataFrame, make: Callable[[list], list], ddl: str, source: str = "text",
@@ -85,7 +103,7 @@ def with_columns_of(df: DataFrame, make: Callable[[list], list], ddl: str, sourc
                                              names=kept + [f.name for f in new.fields])
 
     ship_package(df.sparkSession)
-    return held.mapInArrow(run, schema)
+    return held.mapInArrow(releasing(run), schema)
 
 
 def smallest_by_hash(df: DataFrame, key: str, limit: int) -> DataFrame:

@@ -201,8 +201,12 @@ def _shape(word: str) -> str:
     return re.sub(r"(.)\1{3,}", r"\1\1\1", re.sub(r"[0-9]", "9", s))[:16]
 
 
-@lru_cache(maxsize=200_000)
 def word_features(word: str) -> tuple[str, ...]:
+    """Features of one word; those of short words are kept, within some 10 MB a worker."""
+    return _kept_features(word) if len(word) <= 40 else _features(word)
+
+
+def _features(word: str) -> tuple[str, ...]:
     core = word.strip(_EDGE)
     low, digits = core.lower(), sum("0" <= c <= "9" for c in core[:64])
     out = [f"s={_shape(core)}", f"n={min(digits, 20)}", f"l={min(len(core), 24) // 4}",
@@ -218,6 +222,9 @@ def word_features(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+_kept_features = lru_cache(maxsize=20_000)(_features)
+
+
 class Field:
     """Weights per feature and tag for the word itself (0), the two before (-2, -1) and the two after (1, 2)."""
 

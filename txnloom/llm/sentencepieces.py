@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 
 from ..session import ship_package
 from .chunks import ChunkEncoder
-from .common import small_batches
+from .common import releasing, small_batches
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -217,7 +217,7 @@ def encode_pieces(docs: DataFrame, path: str = "", keep: tuple[str, ...] = ("doc
     ship_package(docs.sparkSession)
     new = StructType.fromDDL("n_pieces bigint, ids array<int>, ids_crc32 bigint, round_trip boolean")
     schema = StructType(held.drop("_text_in").schema.fields + new.fields)
-    return held.mapInArrow(run, schema)
+    return held.mapInArrow(releasing(run, lambda: piece_encoder(path)[1].forget()), schema)
 
 
 def decode_pieces(rows: DataFrame, path: str = "") -> DataFrame:

@@ -86,7 +86,7 @@ def byte_bpe_encoder(path: str) -> ChunkEncoder:
         # Chunks without white space go through in one text; each starts at a token that starts with a blank.
         out: dict[str, bytes] = {}
         # Joined chunks could spell an added token that holds white space.
-        easy = [] if spaced else [c for c in chunks if c and c.isprintable() and not any(map(str.isspace, c))]
+        easy = [] if spaced else [c for c in chunks if c and c.isprintable()]
         for k in range(0, len(easy), 2_000):
             part = easy[k:k + 2_000]
             ids = np.array(tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -156,7 +156,8 @@ def write_tokens(docs: DataFrame, folder: str, p: TokenParams = TokenParams()) -
                 names=["doc_id", "n", "crc", "frame"])
 
     # Stored once, so that the sampling for the sort does not encode everything a second time.
-    frames = stored(map_batches(docs, encode, "doc_id bigint, n bigint, crc bigint, frame binary"), "frames")
+    frames = stored(map_batches(docs, encode, "doc_id bigint, n bigint, crc bigint, frame binary",
+                                lambda: byte_bpe_encoder(path).forget()), "frames")
     ordered = (frames.withColumn("place", F.monotonically_increasing_id())
                .repartitionByRange(F.col("doc_id"), F.col("crc"), F.col("place"))
                .sortWithinPartitions("doc_id", "crc", "place"))
