@@ -25,6 +25,7 @@ def test_every_query_has_an_oracle():
 
 
 def test_entry(spark):
+    """The text operators add queries, of which some have no SQL."""
     import __spark_entry__ as e
-    assert e.queries().keys() == e.oracle_sql().keys()
+    assert QUERIES.keys() <= e.oracle_sql().keys() <= e.queries().keys()
     assert e.entry(spark).count() > 0
