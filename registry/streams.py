@@ -9,10 +9,11 @@ from txnloom.params import StreamParams
 from txnloom.schemas import TXN_COLUMNS
 from txnloom.session import scratch_path
 from txnloom.sources.messages import decode_stream, read_message_stream
-from txnloom.streaming.churn import churn_stream, churn_window_stream
+from txnloom.streaming.churn import churn_stream, window_stream
 from txnloom.streaming.flagged import decode_alerts, maintain_flagged, read_flagged
 from txnloom.streaming.fraud import fraud_stream
 from txnloom.streaming.landing import landing_streams
+from txnloom.streaming.trailing import trailing_stream
 from txnloom.functions.clock import step_of
 from txnloom.sinks.batches import configure, parquet_writer
 
@@ -21,8 +22,8 @@ from .core import query
 from .inputs import evt, messages
 
 
-#: Triggers of every stream query.
-SLICES = 6
+#: Triggers of every stream query, and files in each.
+SLICES, FILES = 6, 4
 
 
 def _drain(*writers):
@@ -31,21 +32,24 @@ def _drain(*writers):
         w.start().awaitTermination()
 
 
-def _topic(spark, df, label):
-    """Messages as files in offset order, one file and trigger per slice of offsets.
+def _topic(spark, df, label, cut_by="offset", cuts=None):
+    """Messages as files in offset order: every trigger takes one slice of the offsets, ``FILES`` files.
 
-    The file source reads files by their age, so slices are written one after the other.
+    The file source reads files by their age, so slices are written one after the other. Rows are dealt to
+    files by ranges of offsets within a slice, so each file is one task's work, whatever the table's size.
     """
     path = scratch_path(spark, label)
     kept = scratch_path(spark, f"{label}-all")
     df.write.parquet(kept)
     rows = spark.read.parquet(kept)
-    cuts = rows.agg(F.percentile_approx("offset", [i / SLICES for i in range(1, SLICES)])).first()[0] or []
+    if cuts is None:
+        cuts = rows.agg(F.percentile_approx(cut_by, [i / SLICES for i in range(1, SLICES)])).first()[0] or []
+    cuts = sorted(set(cuts))
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:]):
-        part = rows.where((F.lit(low is None) | (F.col("offset") > low)) & (F.lit(high is None) | (F.col("offset") <= high)))
-        part.coalesce(1).sortWithinPartitions("offset").write.mode("append").parquet(path)
-    p = StreamParams(kind="parquet", location=path, max_per_trigger=1, once=True)
+        part = rows.where((F.lit(low is None) | (F.col(cut_by) > low)) & (F.lit(high is None) | (F.col(cut_by) <= high)))
+        part.drop("place").repartitionByRange(FILES, "offset").sortWithinPartitions("offset").write.mode("append").parquet(path)
+    p = StreamParams(kind="parquet", location=path, max_per_trigger=FILES, once=True)
     return read_message_stream(spark, p), p
 
 
@@ -91,36 +95,62 @@ def _(spark, d):
         *[F.sum(c).alias(c) for c in ("total_count", "parsed_count", "flagged_count")])
 
 
+def _last_windows(spark, path):
+    return latest_by(spark.read.parquet(path), ["customerId", "window"], ["batch_id"])
+
+
 @query("stream_churn_windows", "ST2 ST3 A19", """
 SELECT customerId, window_start_step, w_count, w_avg_amount, cashout_count, payment_debit_count, low_run FROM win""")
 def _(spark, d):
     stream, p = _topic(spark, _event_messages(spark, d), "window-topic")
     out = scratch_path(spark, "windows")
-    windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True)
-    _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
-                     f"{out}/checkpoint", p))
-    last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId", "window"], ["batch_id"])
-    return last.select("customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count", "w_avg_amount",
-                       "cashout_count", "payment_debit_count", "low_run")
+    _drain(window_stream(decode_stream(stream), f"{out}/stretches", parquet_writer(f"{out}/windows"), f"{out}/checkpoint", p, PARAMS))
+    return _last_windows(spark, f"{out}/windows").select(
+        "customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count", "w_avg_amount",
+        "cashout_count", "payment_debit_count", "low_run")
 
 
 @query("stream_churn_alerts", "ST4 J1 K3 S10 T6 P25", """
 SELECT customerId, window_start_step, window_end_step, signal_names, signal_count, w_count AS window_txn_count,
   w_avg_2 AS window_avg_amount FROM alert""")
 def _(spark, d):
+    """One stream stores windows and alerts."""
     out = scratch_path(spark, "churn")
     customer_baseline(evt(spark, d)).write.parquet(f"{out}/baseline")
     stream, p = _topic(spark, _event_messages(spark, d), "churn-topic")
-    txns = decode_stream(stream)
-    _drain(churn_stream(txns, f"{out}/baseline", f"{out}/alerts", f"{out}/checkpoint", p, PARAMS),
-           configure(churn_window_stream(txns, PARAMS, combine=True).writeStream.outputMode("update")
-                     .foreachBatch(parquet_writer(f"{out}/windows")), f"{out}/checkpoint-windows", p))
-    last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId", "window"], ["batch_id"])
+    _drain(churn_stream(decode_stream(stream), f"{out}/baseline", f"{out}/alerts", f"{out}/checkpoint", p, PARAMS,
+                        windows_path=f"{out}/windows"))
+    last = _last_windows(spark, f"{out}/windows")
     return standing_alerts(dedupe_alerts(spark.read.parquet(f"{out}/alerts")), last).select(
         "customerId", "window_start_step", "window_end_step", F.array_join("signals", ",").alias("signal_names"),
         "signal_count", "window_txn_count", "window_avg_amount")
 
 
+@query("stream_late_rows", "ST5 ST2 ST3", """
+SELECT nameOrig AS customerId, ws AS window_start_step, count(*) AS w_count, count(*) FILTER (held) AS late_count,
+  count(*) FILTER (type = 'CASH_OUT') AS cashout_count
+FROM (SELECT *, kafka_offset % 10 = 3 AS held, max(step) FILTER (kafka_offset % 10 NOT IN (3, 4)) OVER () AS top FROM evt_window)
+WHERE NOT held OR ws + 23 > top - 1 - 48 GROUP BY nameOrig, ws""")
+def _(spark, d):
+    """A tenth of all messages comes last: it counts only in windows that end after the watermark.
+
+    The engine judges a trigger's rows by the watermark of the trigger before, so late rows come third.
+    """
+    last_digit = F.col("offset") % 10
+    place = F.when(last_digit == 3, 2).when(last_digit == 4, 1).otherwise(0)
+    moved = (_event_messages(spark, d).withColumn("place", place)
+             .withColumn("offset", F.col("offset") + F.col("place").cast("long") * (1 << 40)))
+    stream, p = _topic(spark, moved, "late-topic", "place", [0, 1])
+    out = scratch_path(spark, "late")
+    _drain(window_stream(decode_stream(stream), f"{out}/stretches", parquet_writer(f"{out}/windows"), f"{out}/checkpoint", p, PARAMS))
+    first = F.col("batch_id") < 2
+    return spark.read.parquet(f"{out}/windows").groupBy("customerId", "window").agg(
+        F.max("w_count").alias("w_count"), F.max("cashout_count").alias("cashout_count"),
+        F.coalesce(F.max(F.when(first, F.col("w_count"))), F.lit(0)).alias("on_time")).select(
+        "customerId", step_of(F.col("window.start")).alias("window_start_step"), "w_count",
+        (F.col("w_count") - F.col("on_time")).alias("late_count"), "cashout_count")
+
+
 @query("stream_trailing_churn", "ST10", """
 SELECT nameOrig AS customerId, last AS window_end_step, count(*) AS w_count, CAST(sum(amount) AS DOUBLE) / count(*) AS w_avg_amount,
   count(*) FILTER (type = 'CASH_OUT') AS cashout_count, count(*) FILTER (type IN ('PAYMENT', 'DEBIT')) AS payment_debit_count,
@@ -129,9 +159,8 @@ FROM evt_tail LEFT JOIN tail_run USING (nameOrig) GROUP BY nameOrig, last""")
 def _(spark, d):
     stream, p = _topic(spark, _event_messages(spark, d), "trailing-topic")
     out = scratch_path(spark, "trailing")
-    windows = churn_window_stream(decode_stream(stream), PARAMS, combine=True, trailing=True)
-    _drain(configure(windows.writeStream.outputMode("update").foreachBatch(parquet_writer(f"{out}/windows")),
-                     f"{out}/checkpoint", p))
+    _drain(configure(trailing_stream(decode_stream(stream), PARAMS).writeStream.outputMode("update")
+                     .foreachBatch(parquet_writer(f"{out}/windows")), f"{out}/checkpoint", p))
     last = latest_by(spark.read.parquet(f"{out}/windows"), ["customerId"], [F.col("window.end"), F.col("batch_id")])
     return last.select("customerId", (step_of(F.col("window.end")) - 1).alias("window_end_step"), "w_count", "w_avg_amount",
                        "cashout_count", "payment_debit_count", "low_run")

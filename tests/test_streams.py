@@ -12,10 +12,11 @@ from txnloom.params import ChurnParams, StreamParams
 from txnloom.sinks import batches
 from txnloom.sources import read_metrics
 from txnloom.sources.messages import MESSAGE, decode_stream, read_message_stream
-from txnloom.streaming.churn import churn_stream, churn_window_stream
+from txnloom.streaming.churn import churn_stream, stretch_log, window_stream, window_stretches
 from txnloom.streaming.flagged import decode_alerts, flagged_batch, maintain_flagged, read_flagged
 from txnloom.streaming.fraud import fraud_batch, fraud_stream
 from txnloom.streaming.landing import landing_streams
+from txnloom.streaming.trailing import trailing_stream
 
 
 def _write(spark, path, values, start=0):
@@ -90,10 +91,16 @@ def test_churn_stream_finds_the_batch_alerts(spark, tmp_path):
     assert set(json.loads(got.first().value)) >= {"customerId", "signals", "detected_at", "window_start"}
 
 
-def _run_windows(spark, src, out, p=ChurnParams(), **kw):
+def _run_windows(spark, src, out, p=ChurnParams()):
     messages, s = _source(spark, src)
-    w = churn_window_stream(decode_stream(messages), p, **kw)
-    _drain(batches.configure(w.writeStream.outputMode("update").foreachBatch(batches.parquet_writer(f"{out}/w")), f"{out}/cp", s))
+    q = _drain(window_stream(decode_stream(messages), f"{out}/log", batches.parquet_writer(f"{out}/w"), f"{out}/cp", s, p))
+    return spark.read.parquet(f"{out}/w"), q
+
+
+def _run_trailing(spark, src, out, p=ChurnParams()):
+    messages, s = _source(spark, src)
+    _drain(batches.configure(trailing_stream(decode_stream(messages), p).writeStream.outputMode("update")
+                             .foreachBatch(batches.parquet_writer(f"{out}/w")), f"{out}/cp", s))
     return spark.read.parquet(f"{out}/w")
 
 
@@ -115,32 +122,65 @@ def test_last_emission_of_every_window_equals_the_batch_twin(spark, tmp_path):
         _write(spark, src, _event_texts(spark, part), part[0]["kafka_offset"])
     df = with_offsets(spark, rows)
     want = _same(churn_windows(df.withColumn("amount", F.col("amount").cast("decimal(18,2)"))))
-    for combine in (False, True):
-        got = _run_windows(spark, src, str(tmp_path / f"out{combine}"), combine=combine)
+    for chunk in (ChurnParams.order_chunk, 62, 124):
+        got, _ = _run_windows(spark, src, str(tmp_path / f"out{chunk}"), ChurnParams(order_chunk=chunk))
         assert got.select("batch_id").distinct().count() == 3
         last = got.groupBy("customerId", "window").agg(F.max_by(F.struct(*[c for c in got.columns if c not in ("customerId", "window")]), "batch_id").alias("r"))
         assert _same(last.select("customerId", "window", "r.*")) == want
 
 
-def test_late_rows_are_dropped(spark, tmp_path):
+def test_window_plan_has_no_python(spark, tmp_path):
+    _write(spark, str(tmp_path), _event_texts(spark, _activity(3, 1)))
+    messages, _ = _source(spark, str(tmp_path))
+    plan = window_stretches(decode_stream(messages))._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" in plan and "Python" not in plan and "Pandas" not in plan and "collect_list" not in plan
+
+
+def test_late_rows_are_dropped_and_closed_windows_leave_the_state(spark, tmp_path):
     src = str(tmp_path / "in")
     def one(step, at):
         return {"nameOrig": "C1", "step": step, "type": "DEBIT", "amount": 1.0, "newbalanceOrig": 900.0, "kafka_offset": at}
-    # Step 200 sets the limit 48 hours back, to step 152.
-    for at, step in enumerate((200, 120, 140, 201)):
+    # Step 200 sets the limit 48 hours back, to hour 151; the engine applies it from the second trigger after.
+    for at, step in enumerate((200, 200, 120, 140, 400, 401, 402)):
         _write(spark, src, _event_texts(spark, [one(step, at)]), at)
-    got = _run_windows(spark, src, str(tmp_path / "out"))
+    got, q = _run_windows(spark, src, str(tmp_path / "out"))
     hour = (F.unix_timestamp("window.end") - F.lit(1672531200)) / 3600
-    ends = sorted(int(r.h) for r in got.withColumn("h", hour).filter("batch_id in (1, 2)").collect())
+    ends = sorted(int(r.h) for r in got.withColumn("h", hour).filter("batch_id in (2, 3)").collect())
     # Step 120 comes too late for both of its windows; step 140 only for the first, ending at hour 144.
     assert ends == [156]
+    progress = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert sum(p["numRowsDroppedByWatermark"] for p in progress) == 3
+    # Two windows of step 400 and on stay; those of steps 140 and 200 are given up.
+    assert sum(p["numRowsRemoved"] for p in progress) > 0 and progress[-1]["numRowsTotal"] <= 6
+
+
+def test_stretch_log_is_compacted_in_place(spark, tmp_path):
+    rows = _activity(300, 8)
+    df = with_offsets(spark, rows).withColumn("amount", F.col("amount").cast("double"))
+    from txnloom.streaming.churn import touched_windows, window_batch
+    log, seen = stretch_log(str(tmp_path / "log")), {}
+    stretched = window_stretches(df)  # the same plan over a table: one trigger with all rows
+    handle = window_batch(log, lambda w, n: seen.update({n: _same(w)}), compact_every=2)
+    want = _same(churn_windows(df.withColumn("amount", F.col("amount").cast("decimal(18,2)"))))
+    for n in range(6):
+        handle(stretched, n)
+        listed = log.folders(spark)
+        assert len(listed) <= 2 and seen[n] == want
+        # A base and what it replaces are never listed together.
+        bases = [int(f.rsplit("-", 1)[1]) for f in listed if "base" in f]
+        assert len(bases) <= 1 and all(int(f.rsplit("-", 1)[1]) > bases[0] for f in listed if bases and "batch" in f)
+    # Folders stay readable until the compaction after the next.
+    before = log.read(spark)
+    log.compact(spark, 5)
+    handle(stretched, 6)
+    assert before.count() > 0 and _same(touched_windows(spark, log, 6)) == want
 
 
 def test_trailing_stream_equals_the_batch_twin(spark, tmp_path):
     rows = _activity(200, 5)
     src = str(tmp_path / "in")
     _write(spark, src, _event_texts(spark, rows))
-    got = _run_windows(spark, src, str(tmp_path / "out"), trailing=True)
+    got = _run_trailing(spark, src, str(tmp_path / "out"))
     batch = trailing_windows(with_offsets(spark, rows))
     last = batch.groupBy("customerId").agg(F.max_by(F.struct("w_count", "cashout_count", "low_run"), "step").alias("r")).select("customerId", "r.*")
     assert {tuple(r) for r in got.select("customerId", "w_count", "cashout_count", "low_run").collect()} == {tuple(r) for r in last.collect()}

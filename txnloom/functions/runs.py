@@ -47,3 +47,23 @@ def longest(stretches: Column) -> Column:
             F.greatest(acc["best"], r["best"], acc["open"] + r["pre"]).alias("best"))
 
     return F.aggregate(stretches, start, add, lambda acc: acc["best"])
+
+
+def of_bits(there: Column, low: Column, width: int) -> Column:
+    """Summary of up to ``width`` events, each a bit of ``there`` and, if low, of ``low``, in order of their bits."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.getbit(there, i) == 1)
+    return summarise(F.transform(places, lambda i: F.struct((F.getbit(low, i) == 1).alias("low"))))
+
+
+def joined(stretches: Column) -> Column:
+    """One summary of an array of structs with a ``run`` summary, in order."""
+    zero = F.lit(0)
+
+    def add(acc: Column, s: Column) -> Column:
+        r = s["run"]
+        return _summary(acc["n"] + r["n"],
+                        F.when(acc["pre"] == acc["n"], acc["n"] + r["pre"]).otherwise(acc["pre"]),
+                        F.when(r["suf"] == r["n"], acc["suf"] + r["n"]).otherwise(r["suf"]),
+                        F.greatest(acc["best"], r["best"], acc["suf"] + r["pre"]))
+
+    return F.aggregate(stretches, _summary(zero, zero, zero, zero), add)

@@ -8,7 +8,7 @@ collects even when one customer sends a large share of all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import runs
@@ -17,6 +17,9 @@ from ..functions.signals import fired_signals
 from ..params import ChurnParams
 from .latest import latest_by
 
+#: Offsets in a stretch of the stream, one bit of a long each.
+BITS = 62
+
 
 def step_stretches(txns: DataFrame, p: ChurnParams = ChurnParams(),
                    order: str = "kafka_offset") -> DataFrame:
@@ -39,9 +42,10 @@ def step_stretches(txns: DataFrame, p: ChurnParams = ChurnParams(),
     return grouped.withColumn("run", runs.summarise(F.col("_events"))).drop("_events")
 
 
-def _merge_stretches():
+def _merge_stretches(total: Column | None = None):
+    total = F.sum("amount").cast("double") if total is None else total
     return [F.sum("n").alias("w_count"),
-            (F.sum("amount").cast("double") / F.nullif(F.sum("n_amount"), F.lit(0)))
+            (total / F.nullif(F.sum("n_amount"), F.lit(0)))
             .alias("w_avg_amount"),
             F.sum("cashout").alias("cashout_count"),
             F.sum("payment_debit").alias("payment_debit_count")]
@@ -58,6 +62,25 @@ def churn_windows(txns: DataFrame, p: ChurnParams = ChurnParams(),
             .withColumn("low_run", runs.longest(F.col("_runs"))).drop("_runs"))
 
 
+def merged_windows(stretches: DataFrame, p: ChurnParams = ChurnParams()) -> DataFrame:
+    """Windows from stretches that know their window, each with bit masks of its events in arrival order.
+
+    Stretches are first joined to longer ones of ``order_chunk`` offsets, so no group holds more than one
+    chunk's stretches, or more than one entry per step and chunk.
+    """
+    chunk = F.floor(F.col("stretch") * BITS / F.lit(p.order_chunk))
+    sums = [F.sum(c).alias(c) for c in ("n", "amount", "n_amount", "cashout", "payment_debit")]
+    chunks = (stretches.withColumn("run", runs.of_bits(F.col("there"), F.col("low_at"), BITS))
+              .groupBy("window", "customerId", "step", chunk.alias("stretch"))
+              .agg(*sums, F.array_sort(F.collect_list(F.struct("stretch", "run"))).alias("_runs"))
+              .withColumn("run", runs.joined(F.col("_runs"))).drop("_runs"))
+    # Sums of cents in binary carry noise far below a cent; the average must not show it.
+    return (chunks.groupBy("customerId", "window")
+            .agg(*_merge_stretches(F.round(F.sum("amount"), 6)),
+                 F.array_sort(F.collect_list(F.struct("step", "stretch", "run"))).alias("_runs"))
+            .withColumn("low_run", runs.longest(F.col("_runs"))).drop("_runs"))
+
+
 def score_windows(windows: DataFrame, baseline: DataFrame,
                   p: ChurnParams = ChurnParams()) -> DataFrame:
     """Signals per window. Customers without a baseline can still fire S3 and S4.

@@ -1,188 +1,126 @@
-"""Churn stream: sliding or trailing windows per customer, scored per micro-batch.
+"""Churn stream: sliding windows per customer, merged and scored per micro-batch; trailing windows by state.
 
-The state of a customer is one small summary per live step: counts, the amount
-and the low-balance run. It does not grow with the number of transactions, so a
-customer that sends a large share of the stream costs no more than any other.
+Sliding windows are the engine's own: it assigns rows to windows, keeps the watermark, drops rows that come
+too late for a window and gives up the state of closed windows. A window's state is one small row per
+customer, step and stretch of 62 offsets, in which two longs hold a bit per event (seen, low balance), so
+stretches combine in any order and on any task, and a hot customer's rows spread over them. A trigger stores
+the stretches that changed, and joins those of the windows they belong to, from the stored ones.
 Messages of one account arrive in offset order, as they share a partition.
+
+Rows without a step or a type take no part. A row may count in one of its windows and be late for another.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.storagelevel import StorageLevel
 
 from ..functions import runs
 from ..functions.clock import event_ts, utc_iso_now
 from ..functions.payloads import churn_alert
 from ..functions.rules import parsed
-from ..operators.churn import churn_alerts
+from ..operators.churn import BITS, churn_alerts, merged_windows
 from ..params import ChurnParams, StreamParams
-from ..session import ship_package
 from ..sinks import batches
+from ..sinks.versions import BatchLog
 from ..sources.tables import read_baseline
 
 APP_NAME = "txnloom-churn-stream"
 
-_HOUR_MS = 3_600_000
-_ADDED = ("n", "amount", "n_amount", "cashout", "payment_debit")
-_PIECE = ("customerId string, step int, first long, n long, amount double, n_amount long, "
-          "cashout long, payment_debit long, pre long, suf long, best long")
-_STATE = ("steps array<int>, n array<long>, amount array<double>, n_amount array<long>, "
-          "cashout array<long>, payment_debit array<long>, pre array<long>, suf array<long>, "
-          "best array<long>")
-_WINDOW = ("customerId string, start_hour long, hours int, w_count long, w_avg_amount double, "
-           "cashout_count long, payment_debit_count long, low_run long")
-
-
-def _pieces(txns: DataFrame, p: ChurnParams) -> DataFrame:
-    """Every transaction as a stretch of length one."""
-    low = F.when(runs.is_low(F.col("newbalanceOrig"), p.balance_low_threshold), 1).otherwise(0)
-    kind = F.col("type")
-    one = lambda test: F.when(test, 1).otherwise(0).cast("long")
-    amount = F.col("amount").cast("double")
-    return txns.filter(parsed() & F.col("step").isNotNull()).select(
-        F.col("nameOrig").alias("customerId"), F.col("step").cast("int").alias("step"),
-        F.col("kafka_offset").cast("long").alias("first"), F.lit(1).cast("long").alias("n"),
-        F.coalesce(amount, F.lit(0.0)).alias("amount"), one(amount.isNotNull()).alias("n_amount"),
-        one(kind == "CASH_OUT").alias("cashout"),
-        one(kind.isin("PAYMENT", "DEBIT")).alias("payment_debit"),
-        *[low.cast("long").alias(c) for c in ("pre", "suf", "best")])
-
-
-def combine_pieces(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Join neighbouring single transactions of a customer and step, before the shuffle."""
-    for pdf in batches_:
-        if pdf.empty:
-            yield pdf
-            continue
-        pdf = pdf.sort_values(["customerId", "step", "first"], kind="stable", ignore_index=True)
-        changed = (pdf["customerId"].ne(pdf["customerId"].shift())
-                   | pdf["step"].ne(pdf["step"].shift())).to_numpy()
-        starts = np.flatnonzero(changed)
-        ends = np.append(starts[1:], len(pdf))
-        at = np.arange(len(pdf))
-        low = pdf["pre"].to_numpy() == 1
-        reset = np.maximum.accumulate(np.where(~low, at, np.where(changed, at - 1, -1)))
-        run = np.where(low, at - reset, 0)
-        first_high = np.minimum.reduceat(np.where(low, len(pdf), at), starts)
-        out = pdf.loc[starts, ["customerId", "step", "first"]].reset_index(drop=True)
-        for c in _ADDED:
-            out[c] = np.add.reduceat(pdf[c].to_numpy(), starts)
-        out["pre"] = np.minimum(first_high, ends) - starts
-        out["suf"] = run[ends - 1]
-        out["best"] = np.maximum.reduceat(run, starts)
-        yield out
-
-
-def _append(left: list | None, right: tuple) -> list:
-    """Two stretches in order, as one: (n, amount, n_amount, cashout, payment_debit, pre, suf, best)."""
-    if left is None:
-        return list(right)
-    sums = [a + b for a, b in zip(left[:5], right[:5])]
-    pre = left[0] + right[5] if left[5] == left[0] else left[5]
-    suf = right[0] + left[6] if right[6] == right[0] else right[6]
-    return [*sums, pre, suf, max(left[7], right[7], left[6] + right[5])]
-
-
-def _window_row(customer: str, start_hour: int, hours: int, parts: list[list]) -> tuple:
-    total = None
-    for part in parts:
-        total = _append(total, part)
-    # Sums of cents in binary carry noise far below a cent; the average must not show it.
-    avg = round(total[1], 6) / total[2] if total[2] else None
-    return (customer, start_hour, hours, total[0], avg, total[3], total[4], total[7])
-
-
-def window_updater(p: ChurnParams, epoch_hour: int, trailing: bool) -> Callable:
-    """State function: add the new transactions of a customer, emit the windows they touch."""
-    span, slide = p.window_steps, p.slide_steps
-
-    def update(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        live: dict[int, list] = {}
-        if state.exists:
-            steps, *columns = state.get
-            live = {s: list(v) for s, *v in zip(steps, *columns)}
-        new = pd.concat(list(pdfs), ignore_index=True).sort_values(["step", "first"], kind="stable")
-        touched = []
-        fields = [*_ADDED, "pre", "suf", "best"]
-        for row in new[["step", *fields]].itertuples(index=False, name=None):
-            step = int(row[0])
-            live[step] = _append(live.get(step), tuple(
-                float(v) if f == "amount" else int(v) for f, v in zip(fields, row[1:])))
-            touched.append(step)
-
-        customer, out = key[0], []
-        # The engine keeps rows one window longer than the lateness limit, because
-        # a late row still counts in windows that end after that limit.
-        limit_hour = (state.getCurrentWatermarkMs() + span * _HOUR_MS) / _HOUR_MS
-        last = max(live)
-        if trailing:
-            live = {s: v for s, v in live.items() if s > last - span}
-            out.append(_window_row(customer, epoch_hour + last - span, span,
-                                   [live[s] for s in sorted(live)]))
-        else:
-            starts = {((epoch_hour + s - 1) // slide - j) * slide
-                      for s in set(touched) for j in range(-(-span // slide))}
-            ordered = sorted(live)
-            for start in sorted(starts):
-                if start + span <= limit_hour:
-                    continue
-                first = start - epoch_hour + 1
-                inside = ordered[bisect_left(ordered, first):bisect_left(ordered, first + span)]
-                if inside:
-                    out.append(_window_row(customer, start, span, [live[s] for s in inside]))
-            live = {s: v for s, v in live.items()
-                    if ((epoch_hour + s - 1) // slide) * slide + span > limit_hour}
-        if live:
-            kept = sorted(live)
-            state.update((kept, *[[live[s][i] for s in kept] for i in range(8)]))
-            # A trailing window is given up two windows after the last transaction.
-            idle = (epoch_hour + last - 1 + (2 * span if trailing else span)) * _HOUR_MS
-            expiry = idle if trailing else idle - span * _HOUR_MS + slide * _HOUR_MS
-            state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _WINDOW.split(", ")])
-
-    return update
-
-
-def churn_window_stream(txns: DataFrame, p: ChurnParams = ChurnParams(), combine: bool = False,
-                        trailing: bool = False) -> DataFrame:
-    """Stream of updated windows, with the columns of the batch window aggregate.
-
-    ``combine`` joins transactions before the shuffle. It needs a source whose
-    tasks read each customer in offset order, as the Kafka source does.
+_KEYS = ("window_start", "window_end", "customerId", "step", "stretch")
+_STRETCH = T.StructType(
+    [T.StructField("window_end", T.TimestampType()), T.StructField("customerId", T.StringType()), T.StructField("step", T.IntegerType()),
+     T.StructField("stretch", T.LongType()), T.StructField("n", T.LongType()), T.StructField("amount", T.DoubleType()),
+     *[T.StructField(c, T.LongType()) for c in ("n_amount", "cashout", "payment_debit", "there", "low_at", "window_start")]])
+
+
+def _events(txns: DataFrame, p: ChurnParams) -> DataFrame:
+    return (txns.filter(parsed() & F.col("step").isNotNull())
+            .withColumn("event_ts", event_ts(F.col("step"), p.epoch))
+            .withWatermark("event_ts", f"{p.watermark_hours} hours"))
+
+
+def window_stretches(txns: DataFrame, p: ChurnParams = ChurnParams()) -> DataFrame:
+    """Stream of the stretches that change, with the window they count in."""
+    bit = F.expr(f"shiftleft(1L, CAST(kafka_offset % {BITS} AS INT))")
+    low = runs.is_low(F.col("newbalanceOrig"), p.balance_low_threshold)
+    kind, amount = F.col("type"), F.col("amount").cast("double")
+    return (_events(txns, p)
+            .groupBy(F.window("event_ts", f"{p.window_steps} hours", f"{p.slide_steps} hours"),
+                     F.col("nameOrig").alias("customerId"), F.col("step").cast("int").alias("step"),
+                     F.floor(F.col("kafka_offset") / F.lit(BITS)).alias("stretch"))
+            .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(amount), F.lit(0.0)).alias("amount"),
+                 F.count(amount).alias("n_amount"), F.count_if(kind == "CASH_OUT").alias("cashout"),
+                 F.count_if(kind.isin("PAYMENT", "DEBIT")).alias("payment_debit"),
+                 F.bit_or(bit).alias("there"), F.bit_or(F.when(low, bit).otherwise(F.lit(0).cast("long"))).alias("low_at"))
+            .withColumns({"window_start": F.unix_timestamp("window.start"), "window_end": F.col("window.end")})
+            .select(*_STRETCH.fieldNames()))
+
+
+def stretch_log(path: str) -> BatchLog:
+    """Stored stretches, by the start of their window."""
+    return BatchLog(path, _STRETCH, ("window_start",))
+
+
+def _newest(stretches: DataFrame) -> DataFrame:
+    """One row per stretch: all numbers but the amount only grow, so the fullest version is the newest."""
+    return stretches.groupBy(*_KEYS).agg(
+        F.max_by("amount", "n").alias("amount"),
+        *[F.max(c).alias(c) for c in ("n", "n_amount", "cashout", "payment_debit")],
+        *[F.bit_or(c).alias(c) for c in ("there", "low_at")])
+
+
+def _live(p: ChurnParams) -> Callable[[DataFrame], DataFrame]:
+    """Keeps the newest stretches of windows that the engine can still update."""
+    def keep(stretches: DataFrame) -> DataFrame:
+        # The newest window starts at most one window's length after the newest row's.
+        last = stretches.agg(F.max("window_end").alias("last"))
+        closed = F.col("last") - F.expr(f"INTERVAL {p.watermark_hours + p.window_steps} HOURS")
+        return _newest(stretches.crossJoin(F.broadcast(last)).where(F.col("window_end") > closed)).select(*_STRETCH.fieldNames())
+
+    return keep
+
+
+def touched_windows(spark: SparkSession, log: BatchLog, batch_id: int, p: ChurnParams = ChurnParams()) -> DataFrame:
+    """The windows that a stored batch changed, whole, with the columns of the batch window aggregate."""
+    changed = log.read_batch(spark, batch_id).select("window_start", "customerId").distinct()
+    # Few: a row lies in window_steps / slide_steps windows, and none is older than the watermark allows.
+    starts = [r[0] for r in changed.select("window_start").distinct().collect()]
+    kept = (log.read(spark).where(F.col("window_start").isin(starts))
+            .join(changed, ["window_start", "customerId"], "left_semi"))
+    window = F.struct(F.timestamp_seconds("window_start").alias("start"), F.col("window_end").alias("end"))
+    return merged_windows(_newest(kept).withColumn("window", window), p)
+
+
+def window_batch(log: BatchLog, use: Callable[[DataFrame, int], None], p: ChurnParams = ChurnParams(),
+                 compact_every: int = 60) -> Callable[[DataFrame, int], None]:
+    """Handler of one micro-batch of stretches: store them, give the windows they change to ``use``.
+
+    Every ``compact_every`` batches the log is put into one folder without closed windows, so a trigger
+    reads live windows from few files, however long the stream runs.
     """
-    spark = txns.sparkSession
-    ship_package(spark)
-    epoch_hour = spark.range(1).select(
-        (F.unix_timestamp(F.lit(p.epoch).cast("timestamp")) / 3600).cast("long")).first()[0]
-    pieces = _pieces(txns, p)
-    if combine:
-        pieces = pieces.mapInPandas(combine_pieces, _PIECE)
-    lateness = p.watermark_hours + p.window_steps
-    updated = (pieces.withColumn("event_ts", event_ts(F.col("step"), p.epoch))
-               .withWatermark("event_ts", f"{lateness} hours")
-               .groupBy("customerId")
-               .applyInPandasWithState(window_updater(p, epoch_hour, trailing), _WINDOW, _STATE,
-                                       "update", GroupStateTimeout.EventTimeTimeout))
-    start = F.timestamp_seconds(F.col("start_hour") * 3600)
-    end = F.timestamp_seconds((F.col("start_hour") + F.col("hours")) * 3600)
-    return updated.select("customerId", F.struct(start.alias("start"), end.alias("end")).alias("window"),
-                          "w_count", "w_avg_amount", "cashout_count", "payment_debit_count", "low_run")
+
+    def handle(stretches: DataFrame, batch_id: int) -> None:
+        spark = stretches.sparkSession
+        log.write(stretches, batch_id)
+        use(touched_windows(spark, log, batch_id, p), batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            log.compact(spark, batch_id, _live(p))
+
+    return handle
+
+
+def window_stream(txns: DataFrame, log_path: str, use: Callable[[DataFrame, int], None], checkpoint: str,
+                  stream: StreamParams, p: ChurnParams = ChurnParams(), name: str | None = None) -> DataStreamWriter:
+    """Writer that hands every trigger's changed windows to ``use``."""
+    handle = window_batch(stretch_log(log_path), use, p)
+    return batches.configure(window_stretches(txns, p).writeStream.outputMode("update").foreachBatch(handle),
+                             checkpoint, stream, name)
 
 
 class Baseline:
@@ -208,7 +146,7 @@ class Baseline:
 
 def churn_batch(baseline: Baseline, write_alerts: Callable[[DataFrame, int], None],
                 p: ChurnParams = ChurnParams()):
-    """Handler of one micro-batch of updated windows."""
+    """Handler of the windows of one micro-batch."""
 
     def handle(windows: DataFrame, batch_id: int) -> None:
         alerts = (churn_alerts(windows, baseline.get(windows.sparkSession), p)
@@ -221,11 +159,16 @@ def churn_batch(baseline: Baseline, write_alerts: Callable[[DataFrame, int], Non
 
 def churn_stream(txns: DataFrame, baseline_path: str, alerts_path: str, checkpoint: str,
                  stream: StreamParams, p: ChurnParams = ChurnParams(),
-                 topic: Callable[[DataFrame, int], None] | None = None) -> DataStreamWriter:
-    """Writer of alerts by date, and to a topic as well where one is given."""
+                 topic: Callable[[DataFrame, int], None] | None = None, windows_path: str | None = None,
+                 log_path: str | None = None) -> DataStreamWriter:
+    """Writer of alerts by date, and to a topic as well where one is given.
+
+    With ``windows_path`` the changed windows are stored as well, and alerts come from the stored ones.
+    Stretches go to ``log_path``, by default beside the checkpoint.
+    """
     store = batches.parquet_writer(alerts_path, ("alert_date",))
     writer = store if topic is None else batches.stored_then(store, alerts_path, topic)
-    windows = churn_window_stream(txns, p, combine=stream.kind == "kafka")
     handle = churn_batch(Baseline(baseline_path), writer, p)
-    return batches.configure(windows.writeStream.outputMode("update").foreachBatch(handle),
-                             checkpoint, stream, APP_NAME)
+    if windows_path:
+        handle = batches.stored_then(batches.parquet_writer(windows_path), windows_path, handle)
+    return window_stream(txns, log_path or f"{checkpoint.rstrip('/')}-stretches", handle, checkpoint, stream, p, APP_NAME)
