@@ -173,10 +173,10 @@ def test_score_is_exact_beyond_64_bits(spark):
 
 
 def test_filter_holds_every_phrase(spark):
-    rows = [("en", f"w{i} of w{i * i}") for i in range(3000)]
     p = phrases.PhraseParams(filter_bits=1 << 17)
-    filled = phrases.phrase_filter(spark.createDataFrame(rows, "lang string, phrase string"), p)
-    hashes = np.array([[phrases._word_hash(w.encode()) for w in x.split()] for _, x in rows], np.uint64)
+    hashes = np.array([[phrases._word_hash(f"w{i}".encode()), phrases._word_hash(f"v{i * i}".encode())] for i in range(3000)], np.uint64)
+    rows = [(int(b),) for b in phrases._buckets(hashes, "en")]
+    filled = phrases.bucket_filter(spark.createDataFrame(rows, "bucket long"), p)
     assert len(filled) * 8 == 1 << 17 and phrases._has(filled, hashes, "en").all()
     assert phrases._has(filled, hashes[:, ::-1], "en").mean() < 0.1
 

@@ -6,10 +6,12 @@ sorted by the first ``longest`` words, which is all that phrases of that length
 intervals, one in each transform; extending it by a word to the left or to the right updates both. Counts
 are interval sizes, so a shard names each of its phrases once, and Spark adds the counts of all shards.
 
-Phrases grow one word a round, to the left and to the right in turn. A phrase can only reach ``least``
-places if both phrases that lack one end word do; those of the round before are known by then. They reach
-the shards as one bit each of a filter of at most ``filter_bits`` bits (32 MB). A bit shared by chance lets
-a phrase through that the exact sum removes, so results never depend on the size of the filter.
+Phrases grow one word at a time, to the left and to the right in turn. A phrase can only reach ``least``
+places if all phrases within it do. Rounds for phrases of one, two and three words add up counts by a 32-bit
+hash; a hash whose sum stays below ``least`` rules out all its phrases. The other hashes reach the shards as
+bits of a filter of at most ``filter_bits`` bits (32 MB). A last round names the phrases of all lengths that
+the filters leave, and adds up their exact counts. A hash or bit shared by chance only lets a phrase through
+that the exact sum removes, so results never depend on the size of the filter.
 
 Joins take the counts of the parts of every cut and of the left and right extensions. No task holds more
 than a shard, which is at least one piece (a stretch of text without ``.,;:!?`` or line end).
@@ -39,7 +41,7 @@ for _b in b".,;:!?\x0a\x0b\x0c\x0d":
 _MAP[9] = 32
 _MAP = bytes(_MAP)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SHARD = "lang string, n_words long, words array<string>, counts array<long>, before binary, after binary"
+_SHARD = "lang string, n_words long, words array<string>, before binary, after binary"
 
 
 @dataclass(frozen=True)
@@ -89,17 +91,26 @@ class _Gatherer:
 
 # -- the index of a shard -----------------------------------------------------
 
+def _stable_order(key: np.ndarray, top: int) -> np.ndarray:
+    """Places sorted by keys of at most ``top``, equal ones by place."""
+    shift = max(1, (len(key) - 1).bit_length())
+    if top.bit_length() + shift > 62:
+        return np.argsort(key, kind="stable")
+    return np.sort((key.astype(np.int64) << shift) | np.arange(len(key))) & ((1 << shift) - 1)
+
+
 def _context_order(ids: np.ndarray, depth: int) -> np.ndarray:
     """Places sorted by the ``depth`` ids from there on (0 after the end), equal ones by place."""
     n, have = len(ids), 1
     rank = ids = ids.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
+    order = _stable_order(rank, int(rank.max(initial=0)))
     while have < depth:
         follow, step = (rank, have) if 2 * have <= depth else (ids, 1)
+        wide = int(follow.max(initial=0)) + 1
         shifted = np.zeros(n, np.int64)
         shifted[:max(n - have, 0)] = follow[have:]
-        key = rank * (int(follow.max(initial=0)) + 1) + shifted
-        order = np.argsort(key, kind="stable")
+        key = rank * wide + shifted
+        order = _stable_order(key, (int(rank.max(initial=0)) + 1) * wide)
         key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate(([1], 1 + np.cumsum(key[1:] != key[:-1])))
@@ -141,7 +152,7 @@ class ShardIndex:
         """Row of the suffix that is one id longer, for each row."""
         if self.maps[side] is None:
             there = np.empty(len(self.sides[side]), np.int64)
-            there[np.argsort(self.sides[side], kind="stable")] = np.arange(len(there))
+            there[_stable_order(self.sides[side], self.n_words)] = np.arange(len(there))
             self.maps[side] = there
         return self.maps[side]
 
@@ -157,7 +168,7 @@ class ShardIndex:
         parent = np.repeat(np.arange(len(here)), grams.count)
         rows = np.arange(len(parent)) + (here - begin)[parent]
         key = parent * (self.n_words + 1) + self.sides[side][rows]
-        order = np.argsort(key, kind="stable")
+        order = _stable_order(key, len(here) * (self.n_words + 1))
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.concatenate((first, [len(key)])))
@@ -176,40 +187,33 @@ def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def _bits_of(hashes: np.ndarray, lang: str, bits: int) -> np.ndarray:
-    """One bit number per row of word hashes."""
+def _buckets(hashes: np.ndarray, lang: str) -> np.ndarray:
+    """A number of 32 bits per row of word hashes."""
     with np.errstate(over="ignore"):
         h = np.full(len(hashes), _word_hash(lang.encode("utf-8", "surrogatepass")), np.uint64)
         for k in range(hashes.shape[1]):
             h = (h ^ (h >> np.uint64(29))) * _STEP + hashes[:, k]
         h = (h ^ (h >> np.uint64(32))) * _STEP
-    return (h >> np.uint64(32)).astype(np.int64) & (bits - 1)
+    return (h >> np.uint64(32)).astype(np.int64)
 
 
 def _has(filled: np.ndarray, hashes: np.ndarray, lang: str) -> np.ndarray:
-    at = _bits_of(hashes, lang, len(filled) * 8)
+    at = _buckets(hashes, lang) & (len(filled) * 8 - 1)
     return (filled[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def phrase_filter(phrases: DataFrame, p: PhraseParams) -> np.ndarray:
-    """The filter of a table of phrases: bitmaps built in Spark, at most ``filter_bits`` bits in all."""
+def bucket_filter(buckets: DataFrame, p: PhraseParams) -> np.ndarray:
+    """The filter of a table of buckets: bitmaps built in Spark, at most ``filter_bits`` bits in all."""
     bits = 1 << 15
-    wanted = 32 * phrases.count()
+    wanted = 32 * buckets.count()
     while bits < min(wanted, p.filter_bits):
         bits *= 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [int(_bits_of(np.array([[_word_hash(w) for w in x.encode("utf-8", "surrogatepass").split(b" ")]], np.uint64), lang, bits)[0])
-                  for lang, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["bit"])
-
-    maps = (map_batches(phrases.select("lang", "phrase"), run, "bit long")
-            .groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("map")))
+    at = F.col("bucket").bitwiseAND(F.lit(bits - 1)) + 1
+    maps = (buckets.groupBy(F.bitmap_bucket_number(at).alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map")))
     filled = np.zeros(bits // 8, np.uint8)
-    for bucket, found in maps.collect():  # at most filter_bits / 32768 rows of 4 KB
-        filled[(bucket - 1) * 4096:bucket * 4096] = np.frombuffer(found, np.uint8)
+    for part, found in maps.collect():  # at most filter_bits / 32768 rows of 4 KB
+        filled[(part - 1) * 4096:part * 4096] = np.frombuffer(found, np.uint8)
     return filled
 
 
@@ -221,13 +225,12 @@ def build_shards(docs: DataFrame, p: PhraseParams = PhraseParams()) -> DataFrame
 
     def shard(lang: str, got: _Gatherer) -> pa.RecordBatch:
         ids = np.concatenate([[0], *got.parts]).astype(np.int32)
-        counts = np.bincount(ids, minlength=len(got.known) + 1)[1:]
         words = [w.decode("utf-8", "surrogatepass") for w in got.known]
-        columns = [[lang], [int(counts.sum())], [words], [counts], [transform(ids, p.longest).tobytes()],
+        columns = [[lang], [int(np.count_nonzero(ids))], [words], [transform(ids, p.longest).tobytes()],
                    [transform(ids[::-1], p.longest).tobytes()]]
-        types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        types = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                          names=["lang", "n_words", "words", "counts", "before", "after"])
+                                          names=["lang", "n_words", "words", "before", "after"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, _Gatherer] = {}
@@ -247,57 +250,75 @@ def build_shards(docs: DataFrame, p: PhraseParams = PhraseParams()) -> DataFrame
     return map_batches(texts, run, _SHARD)
 
 
-def _grown(index: ShardIndex, hashes: np.ndarray, lang: str, filters: list[np.ndarray], length: int) -> Grams:
-    """The shard's phrases of a length whose parts all pass the filters of the shorter lengths."""
+def _grown(index: ShardIndex, hashes: np.ndarray, lang: str, filters: list[np.ndarray], longest: int) -> Iterator[Grams]:
+    """The shard's phrases of 1 to ``longest`` words whose parts all pass the filters for their length."""
     grams = index.single()
-    for n in range(1, length):
-        grams = grams.where(_has(filters[n - 1], hashes[grams.ids], lang))
-        grams = index.extend(grams, left := n % 2 == 1)
-        # One part is the phrase it grew from; the other lacks the word at the other end.
-        other = grams.ids[:, :-1] if left else grams.ids[:, 1:]
-        grams = grams.where(_has(filters[n - 1], hashes[other], lang))
-    return grams
+    for n in range(1, longest + 1):
+        if n <= len(filters):
+            grams = grams.where(_has(filters[n - 1], hashes[grams.ids], lang))
+        yield grams
+        if n < longest:
+            grams = index.extend(grams, left := n % 2 == 1)
+            # The part at the end that grew; all other parts lie in the phrase it grew from.
+            k = min(n, len(filters))
+            part = grams.ids[:, :k] if left else grams.ids[:, n + 1 - k:]
+            grams = grams.where(_has(filters[k - 1], hashes[part], lang))
+
+
+def _read_shard(batch: pa.RecordBatch, i: int) -> tuple[str, pa.Array, ShardIndex, np.ndarray]:
+    lang, words = batch.column(0)[i].as_py(), batch.column(1)[i].values
+    hashes = np.array([0, *(_word_hash(w.encode("utf-8", "surrogatepass")) for w in words.to_pylist())], np.uint64)
+    before, after = (np.frombuffer(batch.column(k)[i].as_buffer(), _width(len(words))) for k in (2, 3))
+    return lang, words, ShardIndex(before, after, len(words)), hashes
+
+
+def heavy_buckets(shards: DataFrame, length: int, filters: list[np.ndarray], p: PhraseParams) -> DataFrame:
+    """(bucket) of the buckets that hold at least ``least`` places of phrases of that length."""
+    held = shards.sparkSession.sparkContext.broadcast(filters)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang, _, index, hashes = _read_shard(batch, i)
+                *_, grams = _grown(index, hashes, lang, held.value, length)
+                for start in range(0, len(grams.count), 100_000):
+                    part = grams.where(slice(start, start + 100_000))
+                    yield pa.RecordBatch.from_arrays([pa.array(_buckets(hashes[part.ids], lang)), pa.array(part.count, pa.int64())],
+                                                     names=["bucket", "f"])
 
-def phrase_counts(shards: DataFrame, length: int, filters: list[np.ndarray], p: PhraseParams) -> DataFrame:
-    """(lang, phrase, f) of all phrases of that length that occur at least ``least`` times."""
+    found = map_batches(shards.select("lang", "words", "before", "after"), run, "bucket long, f long")
+    return found.groupBy("bucket").agg(F.sum("f").alias("f")).where(F.col("f") >= p.least).select("bucket")
+
+
+def phrase_counts(shards: DataFrame, filters: list[np.ndarray], p: PhraseParams) -> DataFrame:
+    """(lang, phrase, size, f) of all phrases that occur at least ``least`` times."""
     held = shards.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                lang, words = batch.column(0)[i].as_py(), batch.column(1)[i].values
-                names = words.to_pylist()
-                hashes = np.array([0, *(_word_hash(w.encode("utf-8", "surrogatepass")) for w in names)], np.uint64)
-                before, after = (np.frombuffer(batch.column(k)[i].as_buffer(), _width(len(names))) for k in (2, 3))
-                grams = _grown(ShardIndex(before, after, len(names)), hashes, lang, held.value, length)
-                for start in range(0, len(grams.count), 50_000):
-                    part = grams.where(slice(start, start + 50_000))
-                    texts = [words.take(pa.array(part.ids[:, k] - 1)) for k in range(length)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part.count), pa.string()),
-                         pc.binary_join_element_wise(*texts, " ") if length > 1 else texts[0], pa.array(part.count, pa.int64())],
-                        names=["lang", "phrase", "f"])
-
-    found = map_batches(shards.select("lang", "words", "before", "after"), run, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= p.least)
+                lang, words, index, hashes = _read_shard(batch, i)
+                for size, grams in enumerate(_grown(index, hashes, lang, held.value, p.longest), 1):
+                    for start in range(0, len(grams.count), 50_000):
+                        part = grams.where(slice(start, start + 50_000))
+                        texts = [words.take(pa.array(part.ids[:, k] - 1)) for k in range(size)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(part.count), pa.string()),
+                             pc.binary_join_element_wise(*texts, " ") if size > 1 else texts[0],
+                             pa.array([size] * len(part.count), pa.int32()), pa.array(part.count, pa.int64())],
+                            names=["lang", "phrase", "size", "f"])
+
+    found = map_batches(shards.select("lang", "words", "before", "after"), run, "lang string, phrase string, size int, f long")
+    return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= p.least)
 
 
 def frequent_phrases(docs: DataFrame, p: PhraseParams = PhraseParams()) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, f, size) of all phrases of 1 to ``longest`` words, and (lang, n) of all languages."""
+    """(lang, phrase, size, f) of all phrases of 1 to ``longest`` words, and (lang, n) of all languages."""
     shards = stored(build_shards(docs, p), "phrase-shards")
-    totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    words = (shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-             .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f")).where(F.col("f") >= p.least))
-    tables, filters = [stored(words, "phrases-1")], []
-    for length in range(2, p.longest + 1):
-        filters.append(phrase_filter(tables[-1], p))
-        tables.append(stored(phrase_counts(shards, length, filters, p), f"phrases-{length}"))
-    all_of = [t.withColumn("size", F.lit(k)) for k, t in enumerate(tables, 1)]
-    out = all_of[0]
-    for t in all_of[1:]:
-        out = out.unionByName(t)
-    return out, totals
+    filters: list[np.ndarray] = []
+    for length in range(1, min(3, p.longest) + 1):
+        filters.append(bucket_filter(stored(heavy_buckets(shards, length, filters, p), f"phrase-buckets-{length}"), p))
+    return stored(phrase_counts(shards, filters, p), "phrases"), shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 
 def cut_score(a: str, n: str, l: str, r: str):
