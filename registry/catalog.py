@@ -136,14 +136,13 @@ def _(spark, d):
 
 
 @query("csv_ingest", "V1 V3 V4 V7 S3", """
-SELECT step, type, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM raw_row WHERE kind NOT IN (0, 1, 2, 3, 4)
-GROUP BY step, type""")
+SELECT 'TXN' || lpad(CAST(seq AS VARCHAR), 9, '0') AS txnId, step, type, CAST(amount AS DOUBLE) AS amount, nameOrig, nameDest, TRUE AS stamped
+FROM (SELECT *, row_number() OVER (ORDER BY row_no) AS seq FROM raw_row) WHERE kind NOT IN (0, 1, 2, 3, 4)""")
 def _(spark, d):
-    """Text rows from CSV files, numbered by their place in them, validated and stamped."""
+    """Text rows from CSV files in the order of their rows, numbered by their place, validated and stamped."""
     path = scratch_path(spark, "ingest")
-    tables.write_csv(raw_rows(spark, d).select(*CSV_COLUMNS), path)
+    tables.write_csv(raw_rows(spark, d).repartitionByRange(8, "row_no").sortWithinPartitions("row_no").select(*CSV_COLUMNS), path)
     good, _ = ingest.validate_rows(ingest.with_txn_ids(read_csv_text(spark, path)))
-    records = ingest.to_records(ingest.stamp_ingest(good)).filter(
-        F.col("txnId").rlike("^TXN[0-9]{9,}$") & F.col("ingest_ts").isNotNull()).select(*TXN_COLUMNS)
-    return records.groupBy("step", "type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"))
+    records = ingest.to_records(ingest.stamp_ingest(good)).select(*TXN_COLUMNS)
+    stamped = F.col("ingest_ts").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}")
+    return records.select("txnId", "step", "type", "amount", "nameOrig", "nameDest", stamped.alias("stamped"))
