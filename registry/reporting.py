@@ -23,7 +23,8 @@ def _summary(spark, d):
 
 def _customers(spark, d):
     t = txn(spark, d)
-    return dimensions.dim_customer(profile(spark, d), scoring.clv_scores(t), scoring.risk_scores(t))
+    scores = scoring.customer_scores(t)
+    return dimensions.dim_customer(profile(spark, d), scores, scores)
 
 
 def _customers_clv(spark, d):

@@ -87,3 +87,34 @@ def test_latest_rows_are_limited_before_the_shuffle(spark, table):
     plan = _plan(latest_by(load_transactions(spark, "parquet", table, TXN_COLUMNS), ["nameOrig"], ["txnId"]))
     below = plan[plan.index("Exchange hashpartitioning"):]
     assert "WindowGroupLimit" in below
+
+
+def _as_run(plan):
+    """Lines of the final plans only: what follows a mark of an initial plan, as deep or deeper, goes."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return out
+
+
+def test_customer_scores_scan_the_transactions_once(spark, table):
+    from txnloom.operators import dimensions
+    scores = scoring.customer_scores(load_transactions(spark, "parquet", table))
+    people = spark.createDataFrame([("C1", 0.5, 0.5, 1000.0)], "customerId string, churn_probability double, risk_score double, annualIncome double")
+    people = people.withColumn("products", F.array(F.lit("Loan"))).withColumn("composite_risk_score", F.lit(0.1))
+    for df in (scores, dimensions.dim_customer(people, scores, scores)):
+        final = "\n".join(_as_run(_final(df)))
+        assert final.count("Scan parquet") == 1 and "ReusedExchange" in final, final
+        assert "ObjectHashAggregate" not in final and "SortAggregate" not in final
+
+
+def test_customer_scores_equal_the_single_ones(spark, table):
+    txns_ = load_transactions(spark, "parquet", table, exact_money=True)
+    both = scoring.customer_scores(txns_)
+    for one in (scoring.risk_scores(txns_), scoring.clv_scores(txns_)):
+        assert sorted(map(str, both.select(*one.columns).collect())) == sorted(map(str, one.collect()))

@@ -39,7 +39,16 @@ def dim_transaction_type(spark: SparkSession) -> DataFrame:
 
 def dim_customer(profiles: DataFrame, clv: DataFrame | None = None,
                  risk: DataFrame | None = None) -> DataFrame:
-    """Profiles with the scores that exist, and the reporting bands."""
+    """Profiles with the scores that exist, and the reporting bands.
+
+    If both scores come in one table (``customer_scores``), it is given twice and joined once.
+    """
+    if clv is not None and clv is risk:
+        both = clv.select("customerId", "clv_score", "clv_classification",
+                          F.col("risk_score").alias("model_risk_score"), "risk_tier")
+        plain = dim_customer(profiles)
+        return (plain.join(both, "customerId", "left").withColumn("clv_tier", clv_tier(F.col("clv_classification")))
+                .select(*plain.columns[:-3], *both.columns[1:], *plain.columns[-3:], "clv_tier"))
     out = profiles.drop("products").withColumnRenamed("composite_risk_score",
                                                       "profile_composite_risk")
     if clv is not None:

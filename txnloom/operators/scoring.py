@@ -14,7 +14,7 @@ from ..functions.rules import (
     clamp01, clv_class, is_customer, mean, min_max, recency, risk_tier, safe_ratio, total,
     weighted_score,
 )
-from ..params import ClvParams, RiskParams
+from ..params import TXN_TYPES, ClvParams, RiskParams
 
 RISK_FACTORS = ("frequency", "avg_transfer_amount", "cashout_proportion", "unique_dest_accounts")
 
@@ -97,6 +97,64 @@ def clv_scores(txns: DataFrame, p: ClvParams = ClvParams()) -> DataFrame:
                          *parts.columns[1:])
 
 
+def sender_facts(txns: DataFrame) -> DataFrame:
+    """Everything the scores need of each sender, from one scan and two hash aggregates.
+
+    Rows are first added up per sender and receiver, so the receivers of a sender are counted by counting
+    rows, and a hot sender's rows are combined before the shuffle.
+    """
+    kind = F.col("type")
+    bits = [F.when(kind == t, F.lit(1 << i)) for i, t in enumerate(TXN_TYPES)]
+    pairs = (txns.groupBy(F.col("nameOrig").alias("customerId"), "nameDest")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.max("step").alias("step"),
+                  F.sum(F.when(kind == "TRANSFER", F.col("amount"))).alias("transfers"),
+                  F.count(F.when(kind == "TRANSFER", F.col("amount"))).alias("n_transfers"),
+                  F.count_if(kind == "CASH_OUT").alias("cashout"), F.bit_or(F.coalesce(*bits)).alias("types"),
+                  # Decided in the aggregate, so that no filter on it is pushed below: all readers then share one plan.
+                  F.max(is_customer(F.col("nameOrig"))).alias("customer")))
+    return (pairs.groupBy("customerId")
+            .agg(F.sum("n").alias("txn_count"), total(F.col("amount")).alias("total_amount"), F.max("step").alias("last_step"),
+                 (F.sum("transfers").cast("double") / F.nullif(F.sum("n_transfers"), F.lit(0))).alias("transfer_mean"),
+                 F.sum("cashout").alias("cashout"), F.count("nameDest").alias("unique_dest_accounts"),
+                 F.bit_or("types").alias("types"), F.max("customer").alias("customer")))
+
+
+def customer_scores(txns: DataFrame, risk: RiskParams = RiskParams(), clv: ClvParams = ClvParams()) -> DataFrame:
+    """Risk and lifetime value side by side: all columns of both scores from one scan of the transactions.
+
+    Transaction types are the five of the schema.
+    """
+    shaped = sender_facts(txns).select(
+        "customerId", "customer", "txn_count", "total_amount", "last_step", "unique_dest_accounts",
+        F.bit_count("types").cast("long").alias("distinct_txn_types"), F.col("txn_count").alias("frequency"),
+        F.coalesce("transfer_mean", F.lit(0.0)).alias("avg_transfer_amount"),
+        (F.col("cashout") / F.col("txn_count")).alias("cashout_proportion"))
+    mine = lambda c: F.when(F.col("customer"), F.col(c))
+    # One row with all extremes. It reads every column, so it is the very aggregate of the rows themselves.
+    ends = shaped.agg(F.struct(
+        F.max("last_step").alias("last"),
+        *[F.max(mine(c)).alias(f"{c}_peak") for c in ("total_amount", "txn_count", "distinct_txn_types")],
+        *[agg(mine(c)).alias(f"{c}_{end}") for c in RISK_FACTORS for end, agg in (("min", F.min), ("max", F.max))]).alias("b")).scalar()
+    rows = shaped.withColumn("_b", ends).where("customer").withColumn("steps_since_last_txn", F.col("_b.last") - F.col("last_step"))
+    positive = lambda c: F.when(F.col(f"_b.{c}_peak") > 0, F.col(f"_b.{c}_peak"))
+    scaled = rows.withColumns({
+        **{f"norm_{c}": min_max(F.col(c), F.col(f"_b.{c}_min"), F.col(f"_b.{c}_max")) for c in RISK_FACTORS},
+        "volume_score": clamp01(safe_ratio(F.col("total_amount"), positive("total_amount"))),
+        "frequency_score": clamp01(safe_ratio(F.col("txn_count"), positive("txn_count"))),
+        "diversity_score": clamp01(F.col("distinct_txn_types") / F.lit(float(clv.n_txn_types))),
+        "recency_score": clamp01(recency(F.col("steps_since_last_txn"), clv))})
+    scores = scaled.withColumns({
+        "risk_score": weighted_score(*zip((risk.w_frequency, risk.w_avg_transfer, risk.w_cashout_prop, risk.w_unique_dest),
+                                          [F.col(f"norm_{c}") for c in RISK_FACTORS])),
+        "clv_score": weighted_score(*zip((clv.w_volume, clv.w_frequency, clv.w_diversity, clv.w_recency),
+                                         [F.col(f"{c}_score") for c in ("volume", "frequency", "diversity", "recency")]))})
+    return scores.select(
+        "customerId", "risk_score", risk_tier(F.col("risk_score"), risk).alias("risk_tier"), *RISK_FACTORS,
+        *[f"norm_{c}" for c in RISK_FACTORS], "clv_score", clv_class(F.col("clv_score"), clv).alias("clv_classification"),
+        "total_amount", "txn_count", "distinct_txn_types", "last_step", "steps_since_last_txn",
+        "volume_score", "frequency_score", "diversity_score", "recency_score")
+
+
 def stamped(df: DataFrame) -> DataFrame:
     """Add the time of scoring, as the stored score tables carry it."""
     return df.withColumn("scored_at", F.current_timestamp())
