@@ -117,13 +117,47 @@ def test_crowded_regions_are_compared_in_full(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     reps = stored_reps(spark, df, p)
     label = spark.createDataFrame([], "node long, component long")
-    pairs = {(r.a, r.b) for r in neardup.crowded_pairs(neardup.tree_rows(reps, p), reps, label, p).collect()}
+    pairs = {(r.a, r.b) for r in neardup.crowded_pairs(neardup.mixed_rows(neardup.tree_rows(reps, p), label), reps, label, p).collect()}
     sets = {i: set(neardup.shingle_set(t).tolist()) for i, t in rows}
     for a, b in itertools.combinations(sorted(sets), 2):
         if sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
             assert (a, b) in pairs
 
 
+def test_hub_turns_leave_few_pairs_of_a_large_crowd(spark):
+    """Edited copies of one text, most pairs below the similarity: groups as brute force, pairs of the last step few."""
+    random.seed(11)
+    word = lambda: "".join(random.choices("abcdefgh", k=4))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(500):
+        text = list(base)
+        for k in random.sample(range(150), random.randint(2, 7)):
+            text[k] = word()
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_groups(rows)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == want
+    p = neardup.ForestParams()
+    from txnloom.llm.common import stored
+    reps = stored(stored_reps(spark, df, p), "reps")
+    crowd = stored(neardup.mixed_rows(neardup.tree_rows(reps, p), spark.createDataFrame([], "node long, component long")), "crowd")
+    label, links = spark.createDataFrame([], "node long, component long"), None
+    for turn in range(3):
+        pairs = neardup.hub_pairs(crowd, reps, label, turn, p)
+        assert pairs.count() <= p.hubs * len(rows)
+        links = pairs if links is None else links.unionByName(pairs)
+        label = stored(components.components(links), "label")
+    assert neardup.crowded_pairs(crowd, reps, label, p).count() < 5 * len(rows)
+
+
+def test_row_of_a_repeated_id_is_picked_by_content(spark):
+    rows = [(1, f"text number {i} of one id", i) for i in range(30)]
+    kept = {tuple(neardup.keep_one_per_group(spark.createDataFrame(random.sample(rows, 30), "doc_id long, text string, Text2 int").repartition(n)).collect()[0])
+            for n in (1, 5)}
+    assert len(kept) == 1
+
+
 def stored_reps(spark, df, p):
     return neardup.described(df, p).where("cls is not null").select(F.col("doc_id").alias("rep"), "n", "sig")
 

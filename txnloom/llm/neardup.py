@@ -10,8 +10,10 @@ pass a bit sketch and are confirmed on the full sets.
 1. Neighbours and hubs in the first trees are confirmed and joined into components.
 2. Those of all trees that still lie in different components follow.
 3. A region is what shares the first three levels of a tree. Regions that still hold several components
-   are compared in full, across components, in tiles of bounded size; a pair whose signatures agree too
-   little to reach the similarity goes no further. Nothing is capped.
+   get ``hubs`` new hubs from their largest component, turn by turn, until a turn joins nothing; a turn
+   names a few candidates per row.
+4. What is then still apart in a region is compared in full, across components, in tiles of bounded size;
+   a pair whose signatures agree too little to reach the similarity goes no further. Nothing is capped.
 
 A pair of similarity 0.75 shares a region of some tree with probability 1 - (1 - 0.75**3)**32, all but
 3 in 100 million; sketch and signature keep it with probability above 1 - 1e-5.
@@ -50,6 +52,8 @@ class ForestParams:
     sketch_least: int = 94
     signature_least: float = 0.62
     tile: int = 512
+    hubs: int = 8
+    turns: int = 16
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -231,10 +235,57 @@ def confirmed(pairs: DataFrame, sets: DataFrame, p: ForestParams) -> DataFrame:
             .select("a", "b"))
 
 
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows with the component of their text."""
+    return (rows.join(label.withColumnRenamed("node", "rep"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep")))
+
+
+def mixed_rows(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows of all trees that lie in a region with several components; joins only make them fewer."""
+    known = _labelled(rows.withColumn("region", F.shiftright("hi", 16)).drop("hi", "lo"), label)
+    mixed = known.groupBy("tree", "region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return known.join(mixed.select("tree", "region"), ["tree", "region"], "left_semi").drop("component")
+
+
+def hub_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, turn: int, p: ForestParams) -> DataFrame:
+    """Candidates of a few hubs with all that is apart from them in their region.
+
+    A region's hubs come from its largest component and change with ``turn``. In a region where each two
+    texts are linked with some chance, every hub ties that share of what is apart to the largest component,
+    so some turns leave little; a turn names at most ``hubs`` candidates per row.
+    """
+    known = _labelled(rows, label)
+    sizes = known.groupBy("tree", "region", "component").agg(F.count("*").alias("members"))
+    tops = (sizes.groupBy("tree", "region").agg(F.max(F.struct("members", F.col("component"))).alias("top"), F.count("*").alias("kinds"))
+            .where("kinds > 1").select("tree", "region", F.col("top.component").alias("top")))
+    crowd = known.join(tops, ["tree", "region"])
+    # The order does not depend on the tree, so trees that share a crowd tend to name the same pairs.
+    order = F.xxhash64(F.lit(turn), F.col("rep"))
+    hubs = (crowd.where("component = top").groupBy("tree", "region", F.pmod(order, F.lit(p.hubs)).alias("slot"))
+            .agg(F.min(F.struct(order.alias("order"), "rep", "n", "b1", "b2")).alias("hub"))
+            .select("tree", "region", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "n", "b1", "b2")]))
+    named = (crowd.where("component <> top").join(hubs, ["tree", "region"])
+             .select("rep", "n", "b1", "b2", "h_rep", "h_n", "h_b1", "h_b2").distinct())
+    both = (named.join(reps.select("rep", "sig"), "rep")
+            .join(reps.select(F.col("rep").alias("h_rep"), F.col("sig").alias("h_sig")), "h_rep")
+            .select("rep", "n", "b1", "b2", "h_rep", "h_n", "h_b1", "h_b2", "sig", "h_sig"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rep, n, b1, b2, h, hn, hb1, hb2 = (np.asarray(c) for c in batch.columns[:8])
+            one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(len(rep), -1) for c in batch.columns[8:])
+            ok = _close(n, hn, b1, b2, hb1, hb2, p) & ((one == two).sum(1) >= p.signature_least * one.shape[1])
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(rep, h)[ok], "b": np.maximum(rep, h)[ok]})
+
+    return map_batches(both, run, "a bigint, b bigint").distinct()
+
+
 def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
     """Candidates between different components of one region, every pair looked at, tile by tile."""
-    known = (rows.withColumn("region", F.shiftright("hi", 16)).join(label.withColumnRenamed("node", "rep"), "rep", "left")
-             .withColumn("component", F.coalesce("component", "rep")).drop("hi", "lo"))
+    known = _labelled(rows, label)
     mixed = (known.groupBy("tree", "region").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low < high").select("tree", "region", F.ceil(F.col("size") / p.tile).cast("int").alias("chunks")))
     held = (known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
@@ -328,10 +379,28 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
     links = stored(links.unionByName(second), "links-second")
     label = stored(components(links), "label-second")
 
-    crowd = crowded_pairs(tree_rows(reps, p), reps, label, p)
-    rest = stored(crowd.join(found.select("a", "b").distinct(), ["a", "b"], "left_anti"), "crowded")
-    more = stored(rest.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(near, "rep", "left_anti"), "near-more")
-    sets = sets.unionByName(stored(full_sets(docs, more, p), "sets-more"))
+    tried = found.select("a", "b").distinct()
+
+    def with_sets_of(pairs: DataFrame, sets: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Sets and their ids, with those that the pairs need besides."""
+        ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+        more = stored(ends.join(near, "rep", "left_anti"), "near-more")
+        return sets.unionByName(stored(full_sets(docs, more, p), "sets-more")), near.unionByName(more)
+
+    # What neighbours and hubs left apart in a crowd: new hubs, until a turn joins nothing.
+    crowd = stored(mixed_rows(tree_rows(reps, p), label), "crowd")
+    for turn in range(p.turns):
+        pairs = stored(hub_pairs(crowd, reps, label, turn, p).join(tried, ["a", "b"], "left_anti"), "hub-pairs")
+        sets, near = with_sets_of(pairs, sets, near)
+        more = stored(confirmed(pairs, sets, p), "links-hubs")
+        tried = tried.unionByName(pairs)
+        if not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        label = stored(components(links), "label-hubs")
+
+    rest = stored(crowded_pairs(crowd, reps, label, p).join(tried, ["a", "b"], "left_anti"), "crowded")
+    sets, near = with_sets_of(rest, sets, near)
     links = links.unionByName(confirmed(rest, sets, p))
     label = components(links)
 
@@ -352,5 +421,9 @@ def keep_one_per_group(docs: DataFrame, p: ForestParams = ForestParams()) -> Dat
     named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows"))
     one, many = named.where("_kept AND _rows = 1"), named.where("_kept AND _rows > 1")
     single = docs.join(one.select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(many.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Rows of one id differ in content or not at all: the least digest of all columns says which one stays.
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"}), 256)
+    held = docs.join(many.select("doc_id"), "doc_id", "left_semi").withColumn("_digest", digest)
+    least = held.groupBy("doc_id").agg(F.min("_digest").alias("_digest"))
+    repeated = held.join(least, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
     return (single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))).select(*docs.columns)
