@@ -117,24 +117,6 @@ def _(spark, d):
         "fraud_rate_pct double, risk_classification string").csv(path)
 
 
-@query("export_set", "K10 V18", """
-SELECT 'daily_summary' AS dataset, count(*) AS n FROM (SELECT DISTINCT type, step FROM txn)
-UNION ALL SELECT 'dim_customer', count(*) FROM profile UNION ALL SELECT 'customer_products', count(*) FROM product""")
-def _(spark, d):
-    root, people = scratch_path(spark, "exports"), profile(spark, d)
-    report = tables.export_datasets({"daily_summary": summaries.daily_summary(txn(spark, d)),
-                                     "dim_customer": dimensions.dim_customer(people),
-                                     "customer_products": dimensions.customer_products(people),
-                                     "compliance_summary": None}, root)
-    out = None
-    for name, status, _ in report:
-        if status == "OK":
-            one = spark.read.option("header", True).csv(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n")).select(
-                F.lit(name).alias("dataset"), "n")
-            out = one if out is None else out.unionByName(one)
-    return out
-
-
 @query("csv_ingest", "V1 V3 V4 V7 S3", """
 SELECT 'TXN' || lpad(CAST(seq AS VARCHAR), 9, '0') AS txnId, step, type, CAST(amount AS DOUBLE) AS amount, nameOrig, nameDest, TRUE AS stamped
 FROM (SELECT *, row_number() OVER (ORDER BY row_no) AS seq FROM raw_row) WHERE kind NOT IN (0, 1, 2, 3, 4)""")

@@ -12,7 +12,7 @@ from txnloom.sources.messages import decode_stream, read_message_stream
 from txnloom.streaming.churn import churn_stream, window_stream
 from txnloom.streaming.flagged import decode_alerts, maintain_flagged, read_flagged
 from txnloom.streaming.fraud import fraud_stream
-from txnloom.streaming.landing import landing_streams
+from txnloom.streaming.landing import landed_log, landing_stream
 from txnloom.streaming.trailing import trailing_stream
 from txnloom.functions.clock import step_of
 from txnloom.sinks.batches import configure, parquet_writer
@@ -56,7 +56,7 @@ def _topic(spark, df, label, cut_by="offset", cuts=None):
 def land(spark, d, out):
     """All messages through the landing stream: rows under ``table``, bad messages under ``dead``."""
     stream, p = _topic(spark, messages(spark, d), "landing-topic")
-    _drain(*landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p))
+    _drain(landing_stream(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p, compact_every=4))
 
 
 def _event_messages(spark, d):
@@ -83,16 +83,20 @@ def _(spark, d):
 
 
 @query("stream_fraud_metrics", "ST1 ST9 K4 S9 A18", """
-SELECT count(*) AS total_count, count(*) FILTER (ok) AS parsed_count,
+SELECT *, round(flagged_count * 100.0::DOUBLE / total_count, 6) AS fraud_rate_pct,
+  'SPEC-7.1: type in (TRANSFER,CASH_OUT) & amount>200000 & newbalanceDest==0' AS rule_id
+FROM (SELECT count(*) AS total_count, count(*) FILTER (ok) AS parsed_count,
   (SELECT count(*) FROM flagged WHERE row_no IN (SELECT row_no FROM checked WHERE ok)
-     AND NOT (row_no % 97 = 0 AND row_no // 97 % 9 IN (3, 6))) AS flagged_count FROM checked""")
+     AND NOT (row_no % 97 = 0 AND row_no // 97 % 9 IN (3, 6))) AS flagged_count FROM checked)""")
 def _(spark, d):
     from txnloom.sources.tables import read_metrics
     stream, p = _topic(spark, messages(spark, d), "metrics-topic")
     out = scratch_path(spark, "metrics")
     _drain(fraud_stream(decode_stream(stream), f"{out}/alerts", f"{out}/metrics", f"{out}/checkpoint", p))
     return read_metrics(spark, f"{out}/metrics").agg(
-        *[F.sum(c).alias(c) for c in ("total_count", "parsed_count", "flagged_count")])
+        *[F.sum(c).alias(c) for c in ("total_count", "parsed_count", "flagged_count")],
+        F.round(F.sum(F.col("fraud_rate_pct") * F.col("total_count")) / F.sum("total_count"), 6).alias("fraud_rate_pct"),
+        F.array_join(F.sort_array(F.collect_set("fraud_rule")), "|").alias("rule_id"))
 
 
 def _last_windows(spark, path):
@@ -174,15 +178,14 @@ WHERE row_no IN (SELECT row_no FROM checked WHERE problem_text = '')""")
 def _(spark, d):
     out = scratch_path(spark, "landing")
     land(spark, d, out)
-    return spark.read.parquet(f"{out}/table").select(*TXN_COLUMNS)
+    return landed_log(f"{out}/table").read(spark).select(*TXN_COLUMNS)
 
 
 @query("stream_dead_letters", "ST12 V5", """
 SELECT row_no AS "offset", problem_text AS problems FROM checked WHERE problem_text <> ''""")
 def _(spark, d):
-    stream, p = _topic(spark, messages(spark, d), "dead-topic")
     out = scratch_path(spark, "dead")
-    _drain(landing_streams(stream, f"{out}/table", f"{out}/dead", f"{out}/checkpoint", p)[1])
+    land(spark, d, out)
     rows = spark.read.schema("key string, value string, partition int, offset long, problems array<string>").json(
         f"{out}/dead")
     return rows.select("offset", F.array_join(F.array_sort("problems"), "; ").alias("problems"))

@@ -15,7 +15,8 @@ from txnloom.sources.messages import MESSAGE, decode_stream, read_message_stream
 from txnloom.streaming.churn import churn_stream, stretch_log, window_stream, window_stretches
 from txnloom.streaming.flagged import decode_alerts, flagged_batch, maintain_flagged, read_flagged
 from txnloom.streaming.fraud import fraud_batch, fraud_stream
-from txnloom.streaming.landing import landing_streams
+from txnloom.streaming import landing
+from txnloom.streaming.landing import compact_landed, landed_log, landing_stream
 from txnloom.streaming.trailing import trailing_stream
 
 
@@ -191,13 +192,60 @@ def test_landing_splits_good_from_bad(spark, tmp_path):
     good = _texts(txns(spark, [{"step": s, "txnId": f"TXN{s}", "ingest_ts": "x"} for s in (1, 2, 30)]), encode_txn())
     _write(spark, src, good + ["{", '{"step":1}'])
     messages, p = _source(spark, src)
-    for w in landing_streams(messages, f"{out}/t", f"{out}/dead", f"{out}/cp", p):
-        _drain(w)
-    assert {(r.step, r.txnId) for r in spark.read.parquet(f"{out}/t").collect()} == {(1, "TXN1"), (2, "TXN2"), (30, "TXN30")}
+    _drain(landing_stream(messages, f"{out}/t", f"{out}/dead", f"{out}/cp", p))
+    assert {(r.step, r.txnId) for r in landed_log(f"{out}/t").read(spark).collect()} == {(1, "TXN1"), (2, "TXN2"), (30, "TXN30")}
     assert [len(r.problems) for r in spark.read.json(f"{out}/dead").orderBy("offset").collect()] == [1, 12]
-    land, _ = landing_streams(messages, f"{out}/d", f"{out}/dead2", f"{out}/cp2", p, partition_by="day")
-    _drain(land)
-    assert {str(r.day) for r in spark.read.parquet(f"{out}/d").collect()} == {"2023-01-01", "2023-01-02"}
+    _drain(landing_stream(messages, f"{out}/d", f"{out}/dead2", f"{out}/cp2", p, partition_by="day"))
+    assert {str(r.day) for r in landed_log(f"{out}/d", "day").read(spark).collect()} == {"2023-01-01", "2023-01-02"}
+
+
+def test_landing_checks_a_message_once_and_compacts_under_readers(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    checks = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        checks.add(1)
+        return value
+
+    real = landing.message_checks
+    monkeypatch.setattr(landing, "message_checks", lambda df: real(df.withColumn("value", counted("value"))))
+    handle = landing.landing_batch(f"{out}/t", f"{out}/dead", f"{out}/staged", compact_every=0)
+    log = landed_log(f"{out}/t")
+
+    def batch(n):
+        texts = _texts(txns(spark, [{"step": s, "txnId": f"TXN{n}{s}", "ingest_ts": "x"} for s in (1, 2)]), encode_txn()) + ["{"]
+        return spark.createDataFrame([(None, v, 0, 10 * n + i, None) for i, v in enumerate(texts)], MESSAGE)
+
+    for n in (0, 1, 1, 2):  # the second batch is replayed
+        handle(batch(n), n)
+    assert checks.value == 4 * 3
+    rows = lambda df: sorted(r.txnId for r in df.collect())
+    want = sorted(f"TXN{n}{s}" for n in range(3) for s in (1, 2))
+    assert rows(log.read(spark)) == want and spark.read.json(f"{out}/dead").count() == 3
+    during = log.read(spark)  # listed before the compaction, read after it
+    compact_landed(spark, log, 2)
+    assert rows(during) == want and rows(log.read(spark)) == want and len(log.folders(spark)) == 1
+    handle(batch(3), 3)
+    assert len(rows(log.read(spark))) == 8 and len(log.folders(spark)) == 2
+    compact_landed(spark, log, 3)
+    assert len(rows(log.read(spark))) == 8
+
+
+def test_batch_table_adds_only_new_folders(spark, tmp_path):
+    import uuid
+    from txnloom.sinks import tables
+    log, db = landed_log(str(tmp_path / "t")), f"db_{uuid.uuid4().hex[:8]}"
+    tables.create_database(spark, db, str(tmp_path / "db"))
+    put = lambda n: log.write(txns(spark, [{"step": s, "txnId": f"TXN{n}{s}"} for s in (1, 2)]), n)
+    put(0)
+    assert [f.rsplit("log=", 1)[1] for f in tables.batch_table(spark, f"{db}.t", log)] == ["batch-0"]
+    put(1)
+    assert [f.rsplit("log=", 1)[1] for f in tables.batch_table(spark, f"{db}.t", log)] == ["batch-1"]
+    assert tables.batch_table(spark, f"{db}.t", log) == [] and spark.table(f"{db}.t").count() == 4
+    log.compact(spark, 1)
+    assert [f.rsplit("log=", 1)[1] for f in tables.batch_table(spark, f"{db}.t", log)] == ["base-1"]
+    assert spark.table(f"{db}.t").count() == 4 and spark.table(f"{db}.t").where("step = 2").count() == 2
 
 
 def test_flagged_table(spark, tmp_path):

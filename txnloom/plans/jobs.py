@@ -27,7 +27,7 @@ from ..sources.tables import read_csv_text
 from ..streaming.churn import churn_stream
 from ..streaming.flagged import decode_alerts, maintain_flagged
 from ..streaming.fraud import fraud_stream
-from ..streaming.landing import compact_landed, landing_streams
+from ..streaming.landing import compact_landed, landed_log, landing_stream
 from .warehouse import build_warehouse
 
 
@@ -189,14 +189,15 @@ def stream_churn(spark, args):
 
 def stream_landing(spark, args):
     p = _stream(args, trigger="5 minutes")
-    _run(spark, args, *landing_streams(read_message_stream(spark, p), _out(args, "transactions"),
+    _run(spark, args, landing_stream(read_message_stream(spark, p), _out(args, "transactions"),
                                        _out(args, "dead_letters"), _checkpoint(spark, args, "landing"), p,
                                        args.partition_by))
 
 
 def compact(spark, args):
-    """Landed folders rewritten with few files each, into another folder."""
-    compact_landed(spark, args.input, _out(args, "transactions"))
+    """The landed folders with few files each, in place."""
+    log = landed_log(args.input, args.partition_by)
+    compact_landed(spark, log, log.latest(spark))
 
 
 def stream_flagged(spark, args):

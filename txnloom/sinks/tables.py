@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.checks import missing_columns
 from ..session import exists, hadoop_path
 from ..sources.tables import SourceError
+from .versions import BatchLog
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
@@ -98,6 +99,30 @@ def external_table(spark: SparkSession, name: str, columns: str, location: str,
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def batch_table(spark: SparkSession, name: str, log: BatchLog, comment: str = "") -> list[str]:
+    """Table over a log of batches, kept across runs; returns the folders that this run added.
+
+    Its partitions are those of the folders that the log lists now. Only folders that are new since the last
+    run are listed from the file system, and folders that a compaction replaced are taken out.
+    """
+    by, kinds = log.partition_by[0], {f.name: f.dataType.simpleString() for f in log.schema.fields}
+    inside = StructType([f for f in log.schema.fields if f.name != by]).toDDL()
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({inside}, log string, {by} {kinds[by]}) USING parquet "
+              f"PARTITIONED BY (log, {by}) COMMENT '{comment}' LOCATION '{log.path}'")
+    wanted = {f.rsplit("log=", 1)[1]: f for f in log.folders(spark)}
+    held = [[v.split("=", 1)[1] for v in r[0].split("/")] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    new = sorted(wanted.keys() - {k for k, _ in held})
+    gone = [f"PARTITION (log='{k}', {by}='{v}')" for k, v in held if k not in wanted]
+    added = [f"PARTITION (log='{k}', {by}='{v}')" for k in new for v in log.parts(spark, wanted[k])]
+    # Many folders go to the catalog in calls of bounded size; old ones leave only when the new ones are in.
+    for i in range(0, len(added), 500):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[i:i + 500])}")
+    for i in range(0, len(gone), 500):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone[i:i + 500])}")
+    spark.catalog.refreshTable(name)
+    return [wanted[k] for k in new]
+
+
 def fraud_view_over(spark: SparkSession, view: str, table: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table} WHERE isFraud = 1")
 
@@ -142,6 +167,42 @@ def export_datasets(datasets: Mapping[str, DataFrame | None], root: str,
     return report
 
 
+def content_sums(df: DataFrame) -> DataFrame:
+    """(rows, content): the row count and a sum over rows that no order changes.
+
+    A row counts as 48 bits of the digest of its columns in their order. Fractions are taken in whole
+    millionths, other values as text, missing ones as a mark of their own.
+    """
+    def shown(c: str, kind: str) -> Column:
+        value = F.col(f"`{c}`")
+        if kind in ("double", "float") or kind.startswith("decimal"):
+            value = F.round(value.cast("double") * 1_000_000).cast("decimal(38,0)")
+        return F.coalesce(value.cast("string"), F.lit("\x00"))
+
+    text = F.concat_ws("\x1f", *[shown(c, kind) for c, kind in df.dtypes])
+    part = F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("decimal(20,0)")
+    return df.select(part.alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("part"), F.lit(0)).cast("decimal(38,0)").alias("content"))
+
+
+def export_manifest(spark: SparkSession, report: list[tuple[str, str, str]], root: str,
+                    schemas: Mapping[str, StructType], columns: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """(dataset, status, rows, content) of an export as it lies in its folders, read with the datasets' types.
+
+    ``columns`` says which columns count, by default all. Datasets that were not written have no sums. Lists were written as text and count as such.
+    """
+    out = spark.createDataFrame([(n, s) for n, s, _ in report if s != "OK"], "dataset string, status string").select(
+        "dataset", "status", F.lit(None).cast("long").alias("rows"), F.lit(None).cast("decimal(38,0)").alias("content"))
+    for name, status, _ in report:
+        if status != "OK":
+            continue
+        flat = ", ".join(f"`{f.name}` {'string' if f.dataType.typeName() == 'array' else f.dataType.simpleString()}" for f in schemas[name].fields)
+        written = spark.read.schema(flat).option("header", True).csv(f"{root.rstrip('/')}/{name}")
+        written = written.select(*(columns or {}).get(name, written.columns))
+        out = out.unionByName(content_sums(written).select(F.lit(name).alias("dataset"), F.lit("OK").alias("status"), "rows", "content"))
+    return out
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if exists(spark, path) else None
 

@@ -53,6 +53,16 @@ class BatchLog:
         later = [self.folder(n) for n in self._numbers(spark, "batch") if n > base]
         return ([self.folder(base, "base")] if base >= 0 else []) + later
 
+    def parts(self, spark: SparkSession, folder: str) -> list[str]:
+        """Values of the one partition column inside a folder."""
+        _, root, fs = hadoop_path(spark, folder)
+        found = [s.getPath().getName().split("=", 1) for s in fs.listStatus(root) if s.isDirectory()]
+        return sorted(f[1] for f in found if f[0] == self.partition_by[0])
+
+    def latest(self, spark: SparkSession) -> int:
+        """Number of the newest batch, -1 if there is none."""
+        return max([*self._numbers(spark, "batch"), *self._numbers(spark, "base")], default=-1)
+
     def read(self, spark: SparkSession) -> DataFrame:
         return self._get(spark, self.folders(spark))
 

@@ -1,43 +1,75 @@
-"""Landing of messages as partitioned Parquet, with a dead-letter output."""
+"""Landing of messages as partitioned Parquet, with a dead-letter output, from one check of each message."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.clock import event_ts
-from ..operators.ingest import message_checks, split_good_bad
+from ..operators.ingest import message_checks
 from ..params import SIM_EPOCH, StreamParams
-from ..schemas import TXN_COLUMNS
-from ..sinks.batches import configure
-from ..sinks.tables import folder_column, write_parquet
+from ..schemas import TXN, TXN_COLUMNS
+from ..session import hadoop_path
+from ..sinks.batches import configure, json_writer, parquet_writer
+from ..sinks.versions import BatchLog
 from ..sources.messages import decode_stream
 
+_DEAD = ("key", "value", "partition", "offset", "problems")
+
+
+def landed_log(path: str, partition_by: str = "step") -> BatchLog:
+    """The landed rows: a folder per trigger, compacted in place, by step or day."""
+    schema = TXN if partition_by == "step" else T.StructType([*TXN.fields, T.StructField("day", T.DateType())])
+    return BatchLog(path, schema, (partition_by,))
+
+
+def landing_batch(table_path: str, dead_path: str, staging: str, partition_by: str = "step", epoch: str = SIM_EPOCH,
+                  files_per_folder: int = 4, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
+    """Handler of one micro-batch: checks every message once, then writes good rows and bad messages.
+
+    The checked messages are stored first, and both outputs read the stored ones. All three folders belong to
+    the batch, so a replay overwrites them. Rows of one folder meet in at most ``files_per_folder`` tasks.
+    """
+    log = landed_log(table_path, partition_by)
+    dead = json_writer(dead_path)
+
+    def handle(messages: DataFrame, batch_id: int) -> None:
+        spark = messages.sparkSession
+        checked = message_checks(messages)
+        parquet_writer(staging)(checked, batch_id)
+        stored = spark.read.schema(checked.schema).parquet(f"{staging.rstrip('/')}/batch_id={batch_id}")
+        bad = F.size("problems") > 0
+        rows = decode_stream(stored.where(~bad)).select(*TXN_COLUMNS)
+        if partition_by == "day":
+            rows = rows.withColumn("day", F.to_date(event_ts(F.col("step"), epoch)))
+        log.write(rows.repartition(F.col(partition_by), F.pmod(F.xxhash64("txnId"), F.lit(files_per_folder))), batch_id)
+        dead(stored.where(bad).select(*_DEAD), batch_id)
+        # Earlier batches are committed, so what was staged for them is not needed again.
+        _, old, fs = hadoop_path(spark, f"{staging.rstrip('/')}/batch_id={batch_id - 1}")
+        fs.delete(old, True)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_landed(spark, log, batch_id, files_per_folder)
+
+    return handle
 
-def landing_streams(messages: DataFrame, table_path: str, dead_path: str, checkpoint: str,
-                    stream: StreamParams, partition_by: str = "step", epoch: str = SIM_EPOCH,
-                    files_per_folder: int = 4) -> tuple[DataStreamWriter, DataStreamWriter]:
-    """Writers of good rows and of bad messages, each with its own checkpoint.
 
-    ``partition_by`` may be ``day``: many steps of little data make small files.
-    The trigger interval sets how long a file collects rows. Rows of one folder
-    meet in at most ``files_per_folder`` tasks, so a trigger adds so many files to it.
+def landing_stream(messages: DataFrame, table_path: str, dead_path: str, checkpoint: str, stream: StreamParams,
+                   partition_by: str = "step", epoch: str = SIM_EPOCH, files_per_folder: int = 4,
+                   compact_every: int = 0) -> DataStreamWriter:
+    """Writer of good rows and bad messages.
+
+    ``partition_by`` may be ``day``: many steps of little data make small files. The trigger interval sets how
+    long a file collects rows; every ``compact_every`` triggers (0: never) the small files are put together.
     """
-    good, bad = split_good_bad(message_checks(messages))
-    rows = decode_stream(good).select(*TXN_COLUMNS)
-    if partition_by == "day":
-        rows = rows.withColumn("day", F.to_date(event_ts(F.col("step"), epoch)))
+    handle = landing_batch(table_path, dead_path, f"{checkpoint.rstrip('/')}-checked", partition_by, epoch, files_per_folder, compact_every)
+    return configure(messages.writeStream.foreachBatch(handle), f"{checkpoint}/landing", stream, "txnloom-landing")
+
+
+def compact_landed(spark: SparkSession, log: BatchLog, batch_id: int, files_per_folder: int = 4) -> None:
+    """The landed folders with few files each, in place: readers see the old files or the new ones."""
     deal = F.pmod(F.xxhash64("txnId"), F.lit(files_per_folder))
-    land = (rows.repartition(F.col(partition_by), deal).writeStream.format("parquet").option("path", table_path)
-            .option("compression", "snappy").partitionBy(partition_by).outputMode("append"))
-    dead = (bad.select("key", "value", "partition", "offset", "problems")
-            .writeStream.format("json").option("path", dead_path).outputMode("append"))
-    return (configure(land, f"{checkpoint}/landing", stream, "txnloom-landing"),
-            configure(dead, f"{checkpoint}/dead-letters", stream, "txnloom-dead-letters"))
-
-
-def compact_landed(spark: SparkSession, path: str, target: str) -> None:
-    """The landed folders with few files each, written to a new place; a large folder keeps several."""
-    by = folder_column(spark, path)
-    write_parquet(spark.read.parquet(path), target, (by,) if by else ())
+    log.compact(spark, batch_id, lambda rows: rows.repartition(*[F.col(c) for c in log.partition_by], deal))
