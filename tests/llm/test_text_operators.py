@@ -205,10 +205,34 @@ def test_streaming_search_is_the_whole_search(pieces):
         cut = random.randint(0, len(text))
         ids = search.feed(text[:cut]) + search.feed(text[cut:]) + search.finish()
         assert ids == sentencepieces.encode_stream(pieces, text)
-        assert len(search.text) <= len(text)
+        assert not search.text or len(search.ids) == 0
         assert abs(score_of(pieces, text, ids) - whole_search(pieces, text)) < 1e-3 * abs(whole_search(pieces, text))
 
 
+def test_runs_that_never_meet_take_linear_time(pieces):
+    import time
+    for text in ("-" * 5_000, "=-" * 3_000, sentencepieces.MARK * 5_000, "ab" * 4_000):
+        assert abs(score_of(pieces, text, sentencepieces.encode_stream(pieces, text)) - whole_search(pieces, text)) < 1e-6 * len(text) * 20
+    seconds = []
+    for n in (100_000, 400_000):
+        start = time.perf_counter()
+        ids = sentencepieces.encode_stream(pieces, "-" * n)
+        seconds.append(time.perf_counter() - start)
+        assert b"".join(pieces.output[i] for i in ids) == b"-" * n
+    # Four times the text: a quadratic search would take sixteen times as long.
+    assert seconds[1] < 8 * seconds[0] + 0.5
+
+
+def test_ordinary_text_keeps_a_short_window(pieces):
+    text = sentencepieces.MARK + sentencepieces.MARK.join(["the", "window", "stays", "short"] * 2_000)
+    search = sentencepieces.StreamingViterbi(pieces)
+    kept = 0
+    for k in range(0, len(text), 1_000):
+        search.feed(text[k:k + 1_000])
+        kept = max(kept, len(search.text))
+    assert kept < 400
+
+
 def test_pieces_round_trip(spark):
     df = rows_of(spark)
     got = sentencepieces.encode_pieces(df, keep=("doc_id", "text")).collect()
