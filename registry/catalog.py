@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from txnloom.operators import dimensions, graph as g, ingest, summaries
+from txnloom.operators import graph as g, ingest, summaries
 from txnloom.plans.warehouse import build_warehouse
 from txnloom.schemas import CSV_COLUMNS, PROFILE, TXN, TXN_COLUMNS
 from txnloom.session import scratch_path
