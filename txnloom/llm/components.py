@@ -14,8 +14,12 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _tangled(edges: DataFrame) -> bool:
+    """Whether some node has two lesser neighbours, or one lesser and one larger: the edges are no stars yet."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("lesser"), F.lit(0).alias("larger"))
+            .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("lesser"), F.lit(1).alias("larger"))))
+    nodes = ends.groupBy("node").agg(F.sum("lesser").alias("lesser"), F.max("larger").alias("larger"))
+    return nodes.where("lesser > 1 OR lesser = 1 AND larger = 1").agg(F.count("*")).first()[0] > 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,8 +30,7 @@ def components(links: DataFrame) -> DataFrame:
     stars. A third of all links at one node is no group: minima are partial sums and the join is split.
     """
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    seen = _digest(edges)
-    while seen[0]:
+    while _tangled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = stored(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "large")
@@ -35,10 +38,6 @@ def components(links: DataFrame) -> DataFrame:
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         edges = stored(small, "small")
-        now = _digest(edges)
-        if now == seen:
-            break
-        seen = now
     stars = edges.groupBy("u").agg(F.min("v").alias("v"))
     return (stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

@@ -12,8 +12,10 @@ pass a bit sketch and are confirmed on the full sets.
 3. A region is what shares the first three levels of a tree. Regions that still hold several components
    get ``hubs`` new hubs from their largest component, turn by turn, until a turn joins nothing; a turn
    names a few candidates per row.
-4. What is then still apart in a region is compared in full, across components, in tiles of bounded size;
-   a pair whose signatures agree too little to reach the similarity goes no further. Nothing is capped.
+4. What is then still apart in a region is compared in full, across components, in tiles of bounded size.
+   A first pass names the texts that have a partner whose signature agrees enough; a second one brings their
+   full sets to tiles and confirms there, so pairs below the similarity never become rows. A tile returns one
+   link per pair of components. Nothing is capped.
 
 A pair of similarity 0.75 shares a region of some tree with probability 1 - (1 - 0.75**3)**32, all but
 3 in 100 million; sketch and signature keep it with probability above 1 - 1e-5.
@@ -25,7 +27,7 @@ id are one document. An empty table gives an empty result. Only doc_id and text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +45,10 @@ _MULTIPLIERS = np.random.default_rng(5).integers(1, 2 ** 63, 6, dtype=np.uint64)
 
 @dataclass(frozen=True)
 class ForestParams:
-    """``sketch_least`` of 128 bits and ``signature_least`` of the minima agree on pairs that are confirmed."""
+    """``sketch_least`` of 128 bits and ``signature_least`` of the minima agree on pairs that are confirmed.
+
+    A chunk of a tile has about ``tile`` texts and, with full sets, ``tile_shingles`` shingles (8 bytes each).
+    """
 
     words: int = 5
     percent: int = 75
@@ -52,6 +57,7 @@ class ForestParams:
     sketch_least: int = 94
     signature_least: float = 0.62
     tile: int = 512
+    tile_shingles: int = 1 << 20
     hubs: int = 8
     turns: int = 16
 
@@ -283,68 +289,157 @@ def hub_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, turn: int, p:
     return map_batches(both, run, "a bigint, b bigint").distinct()
 
 
-def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
-    """Candidates between different components of one region, every pair looked at, tile by tile."""
+def _chunked(rows: DataFrame, label: DataFrame, with_sets: bool, p: ForestParams) -> DataFrame:
+    """The rows of regions with several components, each region dealt into chunks of bounded size."""
     known = _labelled(rows, label)
-    mixed = (known.groupBy("tree", "region").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low < high").select("tree", "region", F.ceil(F.col("size") / p.tile).cast("int").alias("chunks")))
-    held = (known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
-            .join(reps.select("rep", "sig"), "rep"))
+    chunks = F.ceil(F.count("*") / p.tile)
+    if with_sets:
+        chunks = F.greatest(chunks, F.ceil(F.sum("n") / p.tile_shingles))
+    mixed = (known.groupBy("tree", "region").agg(chunks.cast("int").alias("chunks"), F.min("component").alias("low"),
+                                                 F.max("component").alias("high"))
+             .where("low < high").select("tree", "region", "chunks"))
+    return known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+
+
+_TILE_KEYS = ["tree", "region", "c1", "c2"]
+_TILE_NUMBERS = [*_TILE_KEYS, "chunk", "rep", "n", "b1", "b2", "component"]
+
+
+def _objects(column: pa.Array) -> np.ndarray:
+    """Bytes, or one array per list, as objects."""
+    out = np.empty(len(column), object)
+    if pa.types.is_list(column.type):
+        ends = column.offsets.to_numpy()
+        parts = np.split(column.flatten().to_numpy(), ends[1:-1] - ends[0])
+    else:
+        parts = column.to_pylist()
+    for k, part in enumerate(parts):
+        out[k] = part
+    return out
+
+
+def _in_tiles(held: DataFrame, tile: Callable[[dict], dict], ddl: str, payload: list[str]) -> DataFrame:
+    """``tile`` on the rows of every two chunks of a region, as a dict of arrays by column."""
+    names = [*_TILE_NUMBERS, *payload]
     cells = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "tree", "region", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), "chunk",
-        "rep", "n", "b1", "b2", "component", "sig")
-    keys = ["tree", "region", "c1", "c2"]
-    dealt = cells.repartition(*keys).sortWithinPartitions(*keys)
-
-    def tile(c: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        chunk, rep, n, b1, b2, comp, sig = c[4:]
-        sig = np.frombuffer(b"".join(sig), np.uint16).reshape(len(rep), -1)
-        least = p.signature_least * sig.shape[1]
-        # A pair is named in the first tree in which it shares a region, and in no other.
-        regions = sig.reshape(len(rep), p.trees, LEVELS)[:, :, :REGION_LEVELS]
-        one = np.flatnonzero(chunk == c[2][0])
-        two = one if c[2][0] == c[3][0] else np.flatnonzero(chunk == c[3][0])
-        at = np.arange(0, len(one), 256)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for k in at:
-            i, j = one[k:k + 256, None], two[None, :]
-            i, j = np.broadcast_arrays(i, j)
-            ok = (comp[i] != comp[j]) & ((i < j) | (c[2][0] != c[3][0]))
-            i, j = i[ok], j[ok]
-            ok = _close(n[i], n[j], b1[i], b2[i], b1[j], b2[j], p)
-            i, j = i[ok], j[ok]
-            for s in range(0, len(i), 4096):
-                s = slice(s, s + 4096)
-                ok = (sig[i[s]] == sig[j[s]]).sum(1) >= least
-                one_of, two_of = i[s][ok], j[s][ok]
-                ok = (regions[one_of] == regions[two_of]).all(2).argmax(1) == c[0][0]
-                a.append(rep[one_of[ok]])
-                b.append(rep[two_of[ok]])
-        return np.concatenate(a), np.concatenate(b)
+        "tree", "region", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), *names[4:])
+    dealt = cells.repartition(*_TILE_KEYS).sortWithinPartitions(*_TILE_KEYS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_over: list[np.ndarray] | None = None
-
-        def out(found):
-            a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-            return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [np.asarray(c) if k < 10 else np.array(c.to_pylist(), object) for k, c in enumerate(batch.columns)]
+            cols = [np.asarray(c) if k < len(_TILE_NUMBERS) else _objects(c) for k, c in enumerate(batch.columns)]
             if held_over is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(held_over, cols)]
             change = np.zeros(len(cols[0]) - 1, bool)
             for c in cols[:4]:
                 change |= c[1:] != c[:-1]
             starts = [0, *(np.flatnonzero(change) + 1).tolist()]
-            yield out([tile([c[s:e] for c in cols]) for s, e in zip(starts, starts[1:])])
+            for s, e in zip(starts, starts[1:]):
+                yield pa.RecordBatch.from_pydict(tile(dict(zip(names, (c[s:e] for c in cols)))))
             held_over = [c[starts[-1]:] for c in cols]
         if held_over is not None:
-            yield out([tile(held_over)])
+            yield pa.RecordBatch.from_pydict(tile(dict(zip(names, held_over))))
+
+    return map_batches(dealt, run, ddl)
+
+
+def _agreeing(c: dict, p: ForestParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a tile in different components whose sizes, sketches and signatures allow a link.
+
+    A pair appears in the first tree in which it shares a region, and in no other.
+    """
+    chunk, comp, n, b1, b2 = (c[k] for k in ("chunk", "component", "n", "b1", "b2"))
+    sig = np.frombuffer(b"".join(c["sig"]), np.uint16).reshape(len(n), -1)
+    least = p.signature_least * sig.shape[1]
+    regions = sig.reshape(len(n), p.trees, LEVELS)[:, :, :REGION_LEVELS]
+    low, high = c["c1"][0], c["c2"][0]
+    one, two = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+    for k in range(0, len(one), 256):
+        i, j = np.broadcast_arrays(one[k:k + 256, None], two[None, :])
+        ok = (comp[i] != comp[j]) & ((i < j) | (low != high))
+        i, j = i[ok], j[ok]
+        ok = _close(n[i], n[j], b1[i], b2[i], b1[j], b2[j], p)
+        i, j = i[ok], j[ok]
+        for s in range(0, len(i), 4096):
+            i_of, j_of = i[s:s + 4096], j[s:s + 4096]
+            ok = (sig[i_of] == sig[j_of]).sum(1) >= least
+            i_of, j_of = i_of[ok], j_of[ok]
+            ok = (regions[i_of] == regions[j_of]).all(2).argmax(1) == c["tree"][0]
+            yield i_of[ok], j_of[ok]
+
+
+def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
+    """Candidates (a, b) between different components of one region, every pair looked at, tile by tile."""
+    def tile(c: dict) -> dict:
+        found = [*_agreeing(c, p), (np.zeros(0, np.int64),) * 2]
+        a, b = (c["rep"][np.concatenate(x)] for x in zip(*found))
+        return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+    held = _chunked(rows, label, False, p).join(reps.select("rep", "sig"), "rep")
+    return _in_tiles(held, tile, "a bigint, b bigint", ["sig"]).distinct()
+
+
+def crowded_ends(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestParams) -> DataFrame:
+    """(tree, region, rep) of the texts that may have a link to another component of the region."""
+    def tile(c: dict) -> dict:
+        ends = np.zeros(len(c["rep"]), bool)
+        for i, j in _agreeing(c, p):
+            ends[i] = ends[j] = True
+        return {k: c[k][ends] for k in ("tree", "region", "rep")}
+
+    held = _chunked(rows, label, False, p).join(reps.select("rep", "sig"), "rep")
+    return _in_tiles(held, tile, "tree int, region bigint, rep bigint", ["sig"]).distinct()
+
+
+def _common(i: np.ndarray, j: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets."""
+    if not len(i):
+        return np.zeros(0, np.int64)
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    held = [sets[k] for k in used]
+    ends = np.cumsum([0, *map(len, held)])
+    place = np.unique(np.concatenate(held), return_inverse=True)[1]
+    i, j = at[:len(i)], at[len(i):]
+    mark, out = np.zeros(place.max() + 1, bool), np.zeros(len(i), np.int64)
+    order = np.argsort(i, kind="stable")
+    for run in np.split(order, np.flatnonzero(np.diff(i[order])) + 1):
+        mine = place[ends[i[run[0]]]:ends[i[run[0]] + 1]]
+        mark[mine] = True
+        for k in run:
+            out[k] = np.count_nonzero(mark[place[ends[j[k]]:ends[j[k] + 1]]])
+        mark[mine] = False
+    return out
+
+
+def crowded_links(rows: DataFrame, ends: DataFrame, reps: DataFrame, label: DataFrame, sets: DataFrame, p: ForestParams) -> DataFrame:
+    """Confirmed links (a, b) between ``ends`` of different components; one per tile and pair of components."""
+    def tile(c: dict) -> dict:
+        a, b, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros((0, 2), np.int64)
+        sizes = np.array([len(s) for s in c["hashes"]], np.int64)
+        for i, j in _agreeing(c, p):
+            common = _common(i, j, c["hashes"])
+            ok = 100 * common >= p.percent * (sizes[i] + sizes[j] - common)
+            i, j = i[ok], j[ok]
+            kinds = np.stack([np.minimum(c["component"][i], c["component"][j]), np.maximum(c["component"][i], c["component"][j])], 1)
+            both, first = np.unique(np.concatenate([done, kinds]), axis=0, return_index=True)
+            new = first[first >= len(done)] - len(done)
+            a.append(c["rep"][i[new]])
+            b.append(c["rep"][j[new]])
+            done = both
+        a, b = np.concatenate(a), np.concatenate(b)
+        return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
+
+    held = (_chunked(rows.join(ends, ["tree", "region", "rep"], "left_semi"), label, True, p)
+            .join(reps.select("rep", "sig"), "rep").join(sets, "rep"))
+    return _in_tiles(held, tile, "a bigint, b bigint", ["sig", "hashes"]).distinct()
+
 
-    return map_batches(dealt, run, "a bigint, b bigint").distinct()
+def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
+    """Links that give the components of ``label`` joined by ``more``: one per node instead of all."""
+    return label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFrame:
@@ -376,33 +471,29 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
     second = confirmed(apart(found.select("a", "b").distinct()), sets, p)
-    links = stored(links.unionByName(second), "links-second")
-    label = stored(components(links), "label-second")
+    label = stored(components(_joined(label, second)), "label-second")
 
     tried = found.select("a", "b").distinct()
 
-    def with_sets_of(pairs: DataFrame, sets: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Sets and their ids, with those that the pairs need besides."""
-        ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-        more = stored(ends.join(near, "rep", "left_anti"), "near-more")
+    def with_sets_of(ends: DataFrame, sets: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Sets and their ids, with those that are needed besides."""
+        more = stored(ends.distinct().join(near, "rep", "left_anti"), "near-more")
         return sets.unionByName(stored(full_sets(docs, more, p), "sets-more")), near.unionByName(more)
 
     # What neighbours and hubs left apart in a crowd: new hubs, until a turn joins nothing.
     crowd = stored(mixed_rows(tree_rows(reps, p), label), "crowd")
     for turn in range(p.turns):
         pairs = stored(hub_pairs(crowd, reps, label, turn, p).join(tried, ["a", "b"], "left_anti"), "hub-pairs")
-        sets, near = with_sets_of(pairs, sets, near)
+        sets, near = with_sets_of(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), sets, near)
         more = stored(confirmed(pairs, sets, p), "links-hubs")
         tried = tried.unionByName(pairs)
         if not more.limit(1).count():
             break
-        links = links.unionByName(more)
-        label = stored(components(links), "label-hubs")
+        label = stored(components(_joined(label, more)), "label-hubs")
 
-    rest = stored(crowded_pairs(crowd, reps, label, p).join(tried, ["a", "b"], "left_anti"), "crowded")
-    sets, near = with_sets_of(rest, sets, near)
-    links = links.unionByName(confirmed(rest, sets, p))
-    label = components(links)
+    ends = stored(crowded_ends(crowd, reps, label, p), "crowded")
+    sets, _ = with_sets_of(ends.select("rep"), sets, near)
+    label = components(_joined(label, crowded_links(crowd, ends, reps, label, sets, p)))
 
     joined = (rows_of.withColumn("rep", F.coalesce("rep", "doc_id"))
               .join(label.withColumnRenamed("node", "rep"), "rep", "left")
