@@ -309,3 +309,22 @@ def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_common_sizes():
+    rng = np.random.default_rng(1)
+    sets = np.empty(12, object)
+    for k in range(12):
+        sets[k] = np.unique(rng.integers(-40, 40, rng.integers(1, 60)))
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(12), np.arange(12)))
+    keep = rng.random(len(i)) < 0.6
+    i, j = i[keep], j[keep]
+    assert neardup._common(i, j, sets).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+    assert len(neardup._common(i[:0], j[:0], sets)) == 0
+
+
+def test_objects_of_sliced_lists():
+    import pyarrow as pa
+    lists = pa.array([[1], [2, 3], [], [4, 5, 6]], pa.list_(pa.int64())).slice(1)
+    assert [x.tolist() for x in neardup._objects(lists)] == [[2, 3], [], [4, 5, 6]]
+    assert neardup._objects(pa.array([b"a", b"bc"])).tolist() == [b"a", b"bc"]
