@@ -187,6 +187,17 @@ def test_trailing_stream_equals_the_batch_twin(spark, tmp_path):
     assert {tuple(r) for r in got.select("customerId", "w_count", "cashout_count", "low_run").collect()} == {tuple(r) for r in last.collect()}
 
 
+def test_trailing_run_spans_the_ends_of_a_stretch(spark, tmp_path):
+    src = str(tmp_path / "in")
+    ends = [{"nameOrig": "C1", "step": 1, "type": "PAYMENT", "amount": 1.0, "newbalanceOrig": 100.0, "kafka_offset": at} for at in (0, 61)]
+    _write(spark, src, _event_texts(spark, ends[:1]), 0)
+    _write(spark, src + "/more", _event_texts(spark, ends[1:]), 61)
+    texts = [(None, r.value, 0, r.offset, None) for r in spark.read.schema(MESSAGE).option("recursiveFileLookup", True).json(src).collect()]
+    spark.createDataFrame(texts, MESSAGE).coalesce(1).write.json(str(tmp_path / "one"))
+    got = _run_trailing(spark, str(tmp_path / "one"), str(tmp_path / "out")).collect()
+    assert [(r.w_count, r.low_run) for r in got] == [(2, 2)]
+
+
 def test_landing_splits_good_from_bad(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     good = _texts(txns(spark, [{"step": s, "txnId": f"TXN{s}", "ingest_ts": "x"} for s in (1, 2, 30)]), encode_txn())

@@ -66,10 +66,11 @@ def stretches_of(found: dict[tuple[int, int], list], pdf: pd.DataFrame) -> None:
                           "n_amount": pdf["amount"].notna().to_numpy().astype(np.int64), "cashout": pdf["cashout"].to_numpy(),
                           "payment_debit": pdf["payment_debit"].to_numpy(), "there": bit, "low": np.where(pdf["low"].to_numpy(), bit, 0)})
     # Offsets are unique, so the sum of the bits is their union.
-    for key, values in frame.groupby(["step", "stretch"]).sum().iterrows():
-        have = found.setdefault((int(key[0]), int(key[1])), [0, 0.0, 0, 0, 0, 0, 0])
-        for k, v in enumerate(values.tolist()):
-            have[k] += v if k == 1 else int(v)
+    # Every column keeps its own type: 62 bits do not fit into the 53 of a double.
+    for step, stretch, *values in frame.groupby(["step", "stretch"], as_index=False).sum().itertuples(index=False, name=None):
+        have = found.setdefault((int(step), int(stretch)), [0, 0.0, 0, 0, 0, 0, 0])
+        for k, v in enumerate(values):
+            have[k] += float(v) if k == 1 else int(v)
 
 
 class TrailingWindow(StatefulProcessor):
