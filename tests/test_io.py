@@ -178,6 +178,17 @@ def test_exports(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "dim_date")).count() == 3
 
 
+def test_content_takes_every_digit_of_large_fractions(spark):
+    import hashlib
+    values = [290846024216.23, -290145906235.19, 9e12, 1.5e20, 0.1, -2.5, 0.0]
+    for v in values:
+        text = str(int(v * 1_000_000))
+        want = int(hashlib.md5(text.encode()).hexdigest()[:12], 16)
+        assert tables.content_sums(spark.createDataFrame([(v,)], "v double")).first().content == want, v
+    odd = tables.content_sums(spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "v double")).first()
+    assert odd.rows == 3 and odd.content == 3 * int(hashlib.md5(b"\x00").hexdigest()[:12], 16)
+
+
 def test_header_check(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert check_header(df, ["a"]) is df

@@ -167,6 +167,16 @@ def export_datasets(datasets: Mapping[str, DataFrame | None], root: str,
     return report
 
 
+def _whole(value: Column) -> Column:
+    """A double without a fraction as an exact number, also beyond 2^53; NULL if it is not finite.
+
+    A plain cast to decimal goes by the shortest text of the double and puts zeros for its last digits.
+    """
+    high = (value / 2.0 ** 62).try_cast("long")
+    low = (value - high.cast("double") * 2.0 ** 62).try_cast("long")
+    return (high.cast("decimal(19,0)") * F.lit(2 ** 62).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def content_sums(df: DataFrame) -> DataFrame:
     """(rows, content): the row count and a sum over rows that no order changes.
 
@@ -176,7 +186,7 @@ def content_sums(df: DataFrame) -> DataFrame:
     def shown(c: str, kind: str) -> Column:
         value = F.col(f"`{c}`")
         if kind in ("double", "float") or kind.startswith("decimal"):
-            value = F.round(value.cast("double") * 1_000_000).cast("decimal(38,0)")
+            value = _whole(F.round(value.cast("double") * 1_000_000))
         return F.coalesce(value.cast("string"), F.lit("\x00"))
 
     text = F.concat_ws("\x1f", *[shown(c, kind) for c, kind in df.dtypes])
