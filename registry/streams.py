@@ -22,8 +22,9 @@ from .core import query
 from .inputs import evt, messages
 
 
-#: Triggers of every stream query, and files in each.
+#: Triggers of every stream query, the least number of files in each, and the messages of a file.
 SLICES, FILES = 6, 4
+ROWS_PER_FILE = 100_000
 
 
 def _drain(*writers):
@@ -33,23 +34,23 @@ def _drain(*writers):
 
 
 def _topic(spark, df, label, cut_by="offset", cuts=None):
-    """Messages as files in offset order: every trigger takes one slice of the offsets, ``FILES`` files.
+    """Messages as files in offset order: every trigger takes one slice of the offsets, ``FILES`` files or more.
 
     The file source reads files by their age, so slices are written one after the other. Rows are dealt to
-    files by ranges of offsets within a slice, so each file is one task's work, whatever the table's size.
+    files by ranges of offsets within a slice. A file is one task's work, so larger tables have more files.
     """
     path = scratch_path(spark, label)
     kept = scratch_path(spark, f"{label}-all")
     df.write.parquet(kept)
     rows = spark.read.parquet(kept)
-    if cuts is None:
-        cuts = rows.agg(F.percentile_approx(cut_by, [i / SLICES for i in range(1, SLICES)])).first()[0] or []
-    cuts = sorted(set(cuts))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(cut_by, [i / SLICES for i in range(1, SLICES)]).alias("cuts")).first()
+    cuts = sorted(set((found.cuts or []) if cuts is None else cuts))
     edges = [None, *cuts, None]
+    files = max(FILES, -(-found.n // (ROWS_PER_FILE * (len(cuts) + 1))))
     for low, high in zip(edges, edges[1:]):
         part = rows.where((F.lit(low is None) | (F.col(cut_by) > low)) & (F.lit(high is None) | (F.col(cut_by) <= high)))
-        part.drop("place").repartitionByRange(FILES, "offset").sortWithinPartitions("offset").write.mode("append").parquet(path)
-    p = StreamParams(kind="parquet", location=path, max_per_trigger=FILES, once=True)
+        part.drop("place").repartitionByRange(files, "offset").sortWithinPartitions("offset").write.mode("append").parquet(path)
+    p = StreamParams(kind="parquet", location=path, max_per_trigger=files, once=True)
     return read_message_stream(spark, p), p
 
 

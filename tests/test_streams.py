@@ -302,6 +302,18 @@ def test_topic_gets_what_was_stored(spark, tmp_path):
     assert sorted(sent) == [("C1", f"TXN00000000{i}") for i in range(3)]
 
 
+def test_larger_topics_have_more_files_in_a_trigger(spark, monkeypatch):
+    from registry import streams
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 10, raising=False)
+    rows = spark.range(480).select(F.lit(None).cast("string").alias("key"), F.lit("{}").alias("value"), F.lit(0).alias("partition"),
+                                   F.col("id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    _, p = streams._topic(spark, rows, "many")
+    assert p.max_per_trigger == 8
+    kept = spark.read.parquet(p.location).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("offset").alias("a"), F.max("offset").alias("b")).orderBy("a").collect()
+    # Every row is there once, and files hold ranges that do not overlap.
+    assert sum(r.n for r in kept) == 480 and all(r.n == r.b - r.a + 1 for r in kept) and len(kept) == 48
+
+
 def test_python_workers_can_import_the_package_anywhere(spark):
     import os
     import zipfile
