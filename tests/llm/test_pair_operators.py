@@ -158,6 +158,30 @@ def test_row_of_a_repeated_id_is_picked_by_content(spark):
     assert len(kept) == 1
 
 
+def test_a_text_meets_its_signature_once_for_all_trees(spark, monkeypatch):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(i, " ".join(words[:k] + [f"x{i}"] + words[k + 1:])) for i, k in enumerate(range(10, 190, 9))]
+    p = neardup.ForestParams()
+    reps = stored_reps(spark, spark.createDataFrame(rows, "doc_id long, text string"), p)
+    label, seen, kept = spark.createDataFrame([], "node long, component long"), [], neardup._in_tiles
+
+    def watch(held, *rest):
+        seen.append(held.count())
+        return kept(held, *rest)
+    monkeypatch.setattr(neardup, "_in_tiles", watch)
+    crowd = neardup.mixed_rows(neardup.tree_rows(reps, p), label)
+    assert neardup.crowded_pairs(crowd, reps, label, p).count() == len(rows) * (len(rows) - 1) // 2
+    assert seen == [len(rows)] and crowd.count() > 5 * len(rows)
+
+
+def test_chains_within_a_block_take_no_round(spark, monkeypatch):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(400)], "a long, b long")
+    labels, kept = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: labels.append(label) or kept(df, label))
+    assert {r.component for r in components.components(chain).collect()} == {0} and "large" not in labels
+    assert {r.component for r in components.components(chain, block=50).collect()} == {0} and "large" in labels
+
+
 def stored_reps(spark, df, p):
     return neardup.described(df, p).where("cls is not null").select(F.col("doc_id").alias("rep"), "n", "sig")
 

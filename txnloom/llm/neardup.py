@@ -48,6 +48,7 @@ class ForestParams:
     """``sketch_least`` of 128 bits and ``signature_least`` of the minima agree on pairs that are confirmed.
 
     A chunk of a tile has about ``tile`` texts and, with full sets, ``tile_shingles`` shingles (8 bytes each).
+    Up to ``small_keys`` ids or regions are broadcast to what they select, more are joined.
     """
 
     words: int = 5
@@ -60,6 +61,7 @@ class ForestParams:
     tile_shingles: int = 1 << 20
     hubs: int = 8
     turns: int = 16
+    small_keys: int = 1_000_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -118,8 +120,12 @@ _TREE_DDL = "tree int, hi bigint, lo bigint, rep bigint, n bigint, b1 bigint, b2
 
 
 def tree_rows(reps: DataFrame, p: ForestParams, trees: int | None = None) -> DataFrame:
-    """One row per representative and tree: the levels packed for sorting, the set size and the sketch."""
+    """One row per representative and tree: the levels packed for sorting, the set size and the sketch.
+
+    A component of the representatives stays on their rows.
+    """
     count = p.trees if trees is None else trees
+    kept = ["component"] if "component" in reps.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -135,10 +141,10 @@ def tree_rows(reps: DataFrame, p: ForestParams, trees: int | None = None) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (np.tile(np.arange(count, dtype=np.int32), b.num_rows), hi.ravel(), lo.ravel(),
                                        each(b.column(0).to_numpy()), each(b.column(1).to_numpy()),
-                                       each(bits[:, 0]), each(bits[:, 1]))],
-                names=["tree", "hi", "lo", "rep", "n", "b1", "b2"])
+                                       each(bits[:, 0]), each(bits[:, 1]), *(each(b.column(3).to_numpy()) for _ in kept))],
+                names=["tree", "hi", "lo", "rep", "n", "b1", "b2", *kept])
 
-    return map_batches(reps.select("rep", "n", "sig"), run, _TREE_DDL)
+    return map_batches(reps.select("rep", "n", "sig", *kept), run, _TREE_DDL + "".join(f", {c} bigint" for c in kept))
 
 
 def _close(n1, n2, a1, a2, b1, b2, p: ForestParams) -> np.ndarray:
@@ -247,11 +253,19 @@ def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "rep")))
 
 
-def mixed_rows(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """The rows of all trees that lie in a region with several components; joins only make them fewer."""
-    known = _labelled(rows.withColumn("region", F.shiftright("hi", 16)).drop("hi", "lo"), label)
+def mixed_rows(rows: DataFrame, label: DataFrame, p: ForestParams = ForestParams()) -> DataFrame:
+    """The rows of all trees that lie in a region with several components; joins only make them fewer.
+
+    Rows that bring their component are not joined with ``label``.
+    """
+    rows = rows.withColumn("region", F.shiftright("hi", 16)).drop("hi", "lo")
+    known = rows if "component" in rows.columns else _labelled(rows, label)
     mixed = known.groupBy("tree", "region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return known.join(mixed.select("tree", "region"), ["tree", "region"], "left_semi").drop("component")
+    # Most regions hold one text: only their least and largest component move, not the rows.
+    mixed = stored(mixed.select("tree", "region"), "mixed")
+    if mixed.count() <= p.small_keys:
+        mixed = F.broadcast(mixed)
+    return known.join(mixed, ["tree", "region"], "left_semi").drop("component")
 
 
 def hub_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, turn: int, p: ForestParams) -> DataFrame:
@@ -262,17 +276,24 @@ def hub_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, turn: int, p:
     so some turns leave little; a turn names at most ``hubs`` candidates per row.
     """
     known = _labelled(rows, label)
-    sizes = known.groupBy("tree", "region", "component").agg(F.count("*").alias("members"))
-    tops = (sizes.groupBy("tree", "region").agg(F.max(F.struct("members", F.col("component"))).alias("top"), F.count("*").alias("kinds"))
-            .where("kinds > 1").select("tree", "region", F.col("top.component").alias("top")))
-    crowd = known.join(tops, ["tree", "region"])
     # The order does not depend on the tree, so trees that share a crowd tend to name the same pairs.
     order = F.xxhash64(F.lit(turn), F.col("rep"))
-    hubs = (crowd.where("component = top").groupBy("tree", "region", F.pmod(order, F.lit(p.hubs)).alias("slot"))
-            .agg(F.min(F.struct(order.alias("order"), "rep", "n", "b1", "b2")).alias("hub"))
-            .select("tree", "region", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "n", "b1", "b2")]))
-    named = (crowd.where("component <> top").join(hubs, ["tree", "region"])
-             .select("rep", "n", "b1", "b2", "h_rep", "h_n", "h_b1", "h_b2").distinct())
+    hub = F.struct(order.alias("order"), *[F.col(c).alias(f"h_{c}") for c in ("rep", "n", "b1", "b2")])
+    slots = (known.groupBy("tree", "region", "component", F.pmod(order, F.lit(p.hubs)).alias("slot"))
+             .agg(F.count("*").alias("members"), F.min(hub).alias("hub")))
+    kinds = slots.groupBy("tree", "region", "component").agg(F.sum("members").alias("members"), F.collect_list("hub").alias("hubs"))
+    tops = (kinds.groupBy("tree", "region").agg(F.max_by(F.struct(F.col("component").alias("top"), "hubs"), F.struct("members", "component")).alias("top"),
+                                                F.count("*").alias("kinds"))
+            .where("kinds > 1").select("tree", "region", "top.top", "top.hubs"))
+
+    def close(h):
+        same = 128 - F.bit_count(F.col("b1").bitwiseXOR(h["h_b1"])) - F.bit_count(F.col("b2").bitwiseXOR(h["h_b2"]))
+        return (same >= p.sketch_least) & (100 * F.least("n", h["h_n"]) >= p.percent * F.greatest("n", h["h_n"]))
+
+    # A hub becomes a row only where sizes and sketches allow a link.
+    named = (known.join(tops, ["tree", "region"]).where("component <> top")
+             .select("rep", "n", "b1", "b2", F.explode(F.filter("hubs", close)).alias("hub"))
+             .select("rep", "n", "b1", "b2", *[f"hub.h_{c}" for c in ("rep", "n", "b1", "b2")]).distinct())
     both = (named.join(reps.select("rep", "sig"), "rep")
             .join(reps.select(F.col("rep").alias("h_rep"), F.col("sig").alias("h_sig")), "h_rep")
             .select("rep", "n", "b1", "b2", "h_rep", "h_n", "h_b1", "h_b2", "sig", "h_sig"))
@@ -286,7 +307,7 @@ def hub_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, turn: int, p:
             ok = _close(n, hn, b1, b2, hb1, hb2, p) & ((one == two).sum(1) >= p.signature_least * one.shape[1])
             yield pa.RecordBatch.from_pydict({"a": np.minimum(rep, h)[ok], "b": np.maximum(rep, h)[ok]})
 
-    return map_batches(both, run, "a bigint, b bigint").distinct()
+    return map_batches(both, run, "a bigint, b bigint")
 
 
 def _chunked(rows: DataFrame, label: DataFrame, with_sets: bool, p: ForestParams) -> DataFrame:
@@ -301,6 +322,15 @@ def _chunked(rows: DataFrame, label: DataFrame, with_sets: bool, p: ForestParams
     return known.join(mixed, ["tree", "region"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
 
 
+def _placed(chunked: DataFrame, *payloads: DataFrame) -> DataFrame:
+    """One row per text: its places in all trees (one per tree at most), and what the payloads hold by ``rep``."""
+    held = (chunked.groupBy("rep", "n", "b1", "b2", "component")
+            .agg(F.collect_list(F.struct("tree", "region", "chunk", "chunks")).alias("places")))
+    for payload in payloads:
+        held = held.join(payload, "rep")
+    return held
+
+
 _TILE_KEYS = ["tree", "region", "c1", "c2"]
 _TILE_NUMBERS = [*_TILE_KEYS, "chunk", "rep", "n", "b1", "b2", "component"]
 
@@ -321,7 +351,8 @@ def _objects(column: pa.Array) -> np.ndarray:
 def _in_tiles(held: DataFrame, tile: Callable[[dict], dict], ddl: str, payload: list[str]) -> DataFrame:
     """``tile`` on the rows of every two chunks of a region, as a dict of arrays by column."""
     names = [*_TILE_NUMBERS, *payload]
-    cells = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+    each = held.select("rep", "n", "b1", "b2", "component", *payload, F.explode("places").alias("place")).select("place.*", "*").drop("place")
+    cells = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "tree", "region", F.least("chunk", "other").alias("c1"), F.greatest("chunk", "other").alias("c2"), *names[4:])
     dealt = cells.repartition(*_TILE_KEYS).sortWithinPartitions(*_TILE_KEYS)
 
@@ -378,7 +409,7 @@ def crowded_pairs(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestP
         a, b = (c["rep"][np.concatenate(x)] for x in zip(*found))
         return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
-    held = _chunked(rows, label, False, p).join(reps.select("rep", "sig"), "rep")
+    held = _placed(_chunked(rows, label, False, p), reps.select("rep", "sig"))
     return _in_tiles(held, tile, "a bigint, b bigint", ["sig"]).distinct()
 
 
@@ -390,7 +421,7 @@ def crowded_ends(rows: DataFrame, reps: DataFrame, label: DataFrame, p: ForestPa
             ends[i] = ends[j] = True
         return {k: c[k][ends] for k in ("tree", "region", "rep")}
 
-    held = _chunked(rows, label, False, p).join(reps.select("rep", "sig"), "rep")
+    held = _placed(_chunked(rows, label, False, p), reps.select("rep", "sig"))
     return _in_tiles(held, tile, "tree int, region bigint, rep bigint", ["sig"]).distinct()
 
 
@@ -432,8 +463,7 @@ def crowded_links(rows: DataFrame, ends: DataFrame, reps: DataFrame, label: Data
         a, b = np.concatenate(a), np.concatenate(b)
         return {"a": np.minimum(a, b), "b": np.maximum(a, b)}
 
-    held = (_chunked(rows.join(ends, ["tree", "region", "rep"], "left_semi"), label, True, p)
-            .join(reps.select("rep", "sig"), "rep").join(sets, "rep"))
+    held = _placed(_chunked(rows.join(ends, ["tree", "region", "rep"], "left_semi"), label, True, p), reps.select("rep", "sig"), sets)
     return _in_tiles(held, tile, "a bigint, b bigint", ["sig", "hashes"]).distinct()
 
 
@@ -442,6 +472,11 @@ def _joined(label: DataFrame, more: DataFrame) -> DataFrame:
     return label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
 
 
+def _extended(label: DataFrame, more: DataFrame, name: str) -> DataFrame:
+    """Components of all links with stored ``more``; without any, they are the same."""
+    return stored(components(_joined(label, more)), name) if more.limit(1).count() else label
+
+
 def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
     every = stored(described(docs, p), "signatures")
@@ -470,8 +505,8 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
         return (pairs.join(a, "a", "left").join(b, "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
-    second = confirmed(apart(found.select("a", "b").distinct()), sets, p)
-    label = stored(components(_joined(label, second)), "label-second")
+    second = stored(confirmed(apart(found.select("a", "b").distinct()), sets, p), "links-second")
+    label = _extended(label, second, "label-second")
 
     tried = found.select("a", "b").distinct()
 
@@ -481,7 +516,7 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
         return sets.unionByName(stored(full_sets(docs, more, p), "sets-more")), near.unionByName(more)
 
     # What neighbours and hubs left apart in a crowd: new hubs, until a turn joins nothing.
-    crowd = stored(mixed_rows(tree_rows(reps, p), label), "crowd")
+    crowd = stored(mixed_rows(tree_rows(_labelled(reps, label), p), label, p), "crowd")
     for turn in range(p.turns):
         pairs = stored(hub_pairs(crowd, reps, label, turn, p).join(tried, ["a", "b"], "left_anti"), "hub-pairs")
         sets, near = with_sets_of(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), sets, near)
@@ -489,11 +524,11 @@ def near_duplicates(docs: DataFrame, p: ForestParams = ForestParams()) -> DataFr
         tried = tried.unionByName(pairs)
         if not more.limit(1).count():
             break
-        label = stored(components(_joined(label, more)), "label-hubs")
+        label = _extended(label, more, "label-hubs")
 
     ends = stored(crowded_ends(crowd, reps, label, p), "crowded")
     sets, _ = with_sets_of(ends.select("rep"), sets, near)
-    label = components(_joined(label, crowded_links(crowd, ends, reps, label, sets, p)))
+    label = _extended(label, stored(crowded_links(crowd, ends, reps, label, sets, p), "links-crowded"), "label-crowded")
 
     joined = (rows_of.withColumn("rep", F.coalesce("rep", "doc_id"))
               .join(label.withColumnRenamed("node", "rep"), "rep", "left")
