@@ -158,6 +158,23 @@ def test_row_of_a_repeated_id_is_picked_by_content(spark):
     assert len(kept) == 1
 
 
+def test_no_text_moves_to_keep_one_per_group(spark):
+    rows = [(i, "a b c d e f g h %d" % (i % 40)) for i in range(60)] + [(None, "x"), (None, "x"), (7, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = neardup.keep_one_per_group(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        few = neardup.keep_one_per_group(df, neardup.ForestParams(small_keys=0))
+        # Only the rows of repeated ids are sorted out by their digests.
+        assert plan.count("SortMergeJoin") == 1
+        assert sorted(map(str, kept.collect())) == sorted(map(str, few.collect()))
+        assert sum(r.doc_id is None for r in kept.collect()) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_text_meets_its_signature_once_for_all_trees(spark, monkeypatch):
     words = [f"w{k}" for k in range(200)]
     rows = [(i, " ".join(words[:k] + [f"x{i}"] + words[k + 1:])) for i, k in enumerate(range(10, 190, 9))]

@@ -541,15 +541,20 @@ def keep_one_per_group(docs: DataFrame, p: ForestParams = ForestParams()) -> Dat
     """The documents, all columns, of which one stays per group; of rows that share an id one stays.
 
     Rows with a NULL id all stay. Ids are joined as they are; only rows with a repeated id are sorted out
-    by their whole content.
+    by their whole content. Ids that do not simply stay are broadcast if they are few, else joined.
     """
     groups = stored(near_duplicates(docs.select("doc_id", "text"), p), "groups")
-    named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows"))
-    one, many = named.where("_kept AND _rows = 1"), named.where("_kept AND _rows > 1")
-    single = docs.join(one.select("doc_id"), "doc_id", "left_semi")
+    named = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
+    # Most documents stay, so the few other ids are looked up, by broadcast where they are few enough: no text moves then.
+    other = stored(named.where("NOT kept OR rows > 1"), "not-kept")
+    many = other.where("kept AND rows > 1").select("doc_id")
+    other = other.select("doc_id")
+    if other.count() <= p.small_keys:
+        other, many = F.broadcast(other), F.broadcast(many)
+    single = docs.join(other, "doc_id", "left_anti")
     # Rows of one id differ in content or not at all: the least digest of all columns says which one stays.
     digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"}), 256)
-    held = docs.join(many.select("doc_id"), "doc_id", "left_semi").withColumn("_digest", digest)
+    held = docs.join(many, "doc_id", "left_semi").withColumn("_digest", digest)
     least = held.groupBy("doc_id").agg(F.min("_digest").alias("_digest"))
     repeated = held.join(least, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
-    return (single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))).select(*docs.columns)
+    return single.select(*docs.columns).unionByName(repeated)
