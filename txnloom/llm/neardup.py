@@ -549,7 +549,7 @@ def keep_one_per_group(docs: DataFrame, p: ForestParams = ForestParams()) -> Dat
     other = stored(named.where("NOT kept OR rows > 1"), "not-kept")
     many = other.where("kept AND rows > 1").select("doc_id")
     other = other.select("doc_id")
-    if other.count() <= p.small_keys:
+    if other.count() <= 2 * p.small_keys:  # one number each, regions are two
         other, many = F.broadcast(other), F.broadcast(many)
     single = docs.join(other, "doc_id", "left_anti")
     # Rows of one id differ in content or not at all: the least digest of all columns says which one stays.
