@@ -15,7 +15,7 @@ from txnloom.sources.messages import MESSAGE, decode_stream, read_message_stream
 from txnloom.streaming.churn import churn_stream, stretch_log, window_stream, window_stretches
 from txnloom.streaming.flagged import decode_alerts, flagged_batch, maintain_flagged, read_flagged
 from txnloom.streaming.fraud import fraud_batch, fraud_stream
-from txnloom.streaming import landing
+from txnloom.streaming import landing, trailing
 from txnloom.streaming.landing import compact_landed, landed_log, landing_stream
 from txnloom.streaming.trailing import trailing_stream
 
@@ -198,6 +198,67 @@ def test_trailing_run_spans_the_ends_of_a_stretch(spark, tmp_path):
     assert [(r.w_count, r.low_run) for r in got] == [(2, 2)]
 
 
+def _low_run(low):
+    return max(map(len, "".join("1" if x else "0" for x in low).split("0")))
+
+
+def test_trailing_state_grows_with_groups_and_not_with_customers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(trailing, "GROUPS", 8, raising=False)
+    src = str(tmp_path / "in")
+    rows = [{"nameOrig": f"C{i % 300}", "step": 1 + i // 300, "type": "CASH_OUT", "amount": 2.0, "newbalanceOrig": 100.0, "kafka_offset": i} for i in range(900)]
+    _write(spark, src, _event_texts(spark, rows))
+    messages, s = _source(spark, src)
+    q = _drain(batches.configure(trailing_stream(decode_stream(messages)).writeStream.outputMode("update")
+                                 .foreachBatch(batches.parquet_writer(f"{tmp_path}/w")), f"{tmp_path}/cp", s))
+    got = spark.read.parquet(f"{tmp_path}/w").select("customerId", "w_count", "w_avg_amount", "cashout_count", "low_run").collect()
+    assert sorted(map(tuple, got)) == sorted((f"C{i}", 3, 2.0, 3, 3) for i in range(300))
+    assert q.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] <= 8
+
+
+def test_trailing_windows_of_every_trigger(spark, tmp_path, monkeypatch):
+    import random
+    rng = random.Random(4)
+    monkeypatch.setattr(trailing, "GROUPS", 3, raising=False)
+    src, seen, want = str(tmp_path / "in"), {}, []
+    for trigger in range(4):
+        rows = []
+        for at in rng.sample(range(1000 * trigger, 1000 * trigger + 300), 120):
+            rows.append({"nameOrig": rng.choice(["C1", "C1", *[f"C{k}" for k in range(2, 9 + trigger)]]), "step": 1 + 10 * trigger + rng.randint(0, 30),
+                         "type": rng.choice(["CASH_OUT", "PAYMENT", "CASH_IN"]), "amount": rng.choice([None, 0.25, 7.5]),
+                         "newbalanceOrig": rng.choice([100.0, 100.0, 900.0]), "kafka_offset": at})
+        texts = [(None, json.dumps({k: v for k, v in r.items() if k != "kafka_offset"}), 0, r["kafka_offset"], None) for r in rows]
+        spark.createDataFrame(texts, MESSAGE).coalesce(1).write.mode("append").json(src)
+        for name in {r["nameOrig"] for r in rows}:
+            seen.setdefault(name, []).extend(r for r in rows if r["nameOrig"] == name)
+            last = max(r["step"] for r in seen[name])
+            held = sorted((r for r in seen[name] if r["step"] > last - 24), key=lambda r: (r["step"], r["kafka_offset"]))
+            known = [r["amount"] for r in held if r["amount"] is not None]
+            want.append((trigger, name, len(held), sum(known) / len(known) if known else None, sum(r["type"] == "CASH_OUT" for r in held),
+                         sum(r["type"] == "PAYMENT" for r in held), _low_run(r["newbalanceOrig"] < 500 for r in held)))
+    got = _run_trailing(spark, src, str(tmp_path / "out")).select(
+        "batch_id", "customerId", "w_count", "w_avg_amount", "cashout_count", "payment_debit_count", "low_run").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_trailing_stretches_are_added_up_in_any_order(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(2)
+    at = rng.permutation(4000)
+    rows = pd.DataFrame({"customerId": np.where(rng.random(4000) < 0.9, "hot", "C2").astype(object), "step": 1 + at // 1500, "at": at,
+                         "amount": np.where(rng.random(4000) < 0.1, np.nan, 0.5), "flags": rng.integers(0, 8, 4000)})
+    batches_ = [rows[i:i + 100] for i in range(0, 4000, 100)]
+    at_once = trailing._arrived(iter([rows]), names := {})
+    monkeypatch.setattr(trailing, "_WAITING", 50)
+    for a, b in zip(at_once, trailing._arrived(iter(batches_), dict(names))):
+        assert a.dtype == b.dtype and (a == b).all()
+    customer, step, _, *sums, there, low = at_once
+    (customer, step), values = trailing.folded([customer, step], [*sums, *trailing.run_summaries(there, low)])
+    got = {(c, s): (n, best) for c, s, n, best in zip(customer, step, values[0], values[-1])}
+    rows["low"] = rows["flags"] & 4 > 0
+    assert got == {(names[c], s): (len(g), _low_run(g.sort_values("at")["low"])) for (c, s), g in rows.groupby(["customerId", "step"])}
+
+
 def test_landing_splits_good_from_bad(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     good = _texts(txns(spark, [{"step": s, "txnId": f"TXN{s}", "ingest_ts": "x"} for s in (1, 2, 30)]), encode_txn())
