@@ -142,11 +142,11 @@ def _arrived(batches: Iterator[pd.DataFrame], names: dict[str, int]) -> list[np.
 
 
 def _stored(names: list[str], customer: np.ndarray, step: np.ndarray, values: list[np.ndarray]) -> bytes:
-    """A group's state: a row per customer and step."""
+    """A group's state: a row per customer and step. Threads cost more than so few rows are worth."""
     ids = pa.array(np.array(names, object)[customer], pa.string())
     table = pa.table([ids, step, *values], names=["customerId", "step", *_SUMMARY])
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -155,7 +155,7 @@ def _held(state: GroupState) -> tuple[list[str], list[np.ndarray]]:
     """Customers of a group, and customer number, step and summary of its rows."""
     if not state.exists:
         return [], [np.zeros(0, np.float64 if c == "amount" else np.int64) for c in ("customer", "step", *_SUMMARY)]
-    with pa.ipc.open_stream(bytes(state.get[0])) as stored:
+    with pa.ipc.open_stream(bytes(state.get[0]), options=pa.ipc.IpcReadOptions(use_threads=False)) as stored:
         ids, *columns = stored.read_all().combine_chunks().columns
     ids = ids.combine_chunks().dictionary_encode()
     return ids.dictionary.to_pylist(), [ids.indices.to_numpy().astype(np.int64), *(c.to_numpy() for c in columns)]
@@ -192,7 +192,7 @@ def trailing_group(p: ChurnParams) -> Callable[[tuple, Iterator[pd.DataFrame], G
         now = changed[customer]
         (customer,), total = folded([customer[now]], [v[now] for v in values])
         # Sums of cents in binary carry noise far below a cent; the average must not show it.
-        avg = [round(a, 6) / n if n else None for a, n in zip(total[1].tolist(), total[2].tolist())]
+        avg = np.array([round(a, 6) / n if n else None for a, n in zip(total[1].tolist(), total[2].tolist())], np.float64)
         out = [np.array(list(names), object)[customer], last[customer], total[0], avg, total[3], total[4], total[7]]
         yield pd.DataFrame(dict(zip([c.split()[0] for c in _WINDOW.split(", ")], out)))
 
